@@ -14,7 +14,7 @@ from tallyloom.schemas import RAW_COLUMNS, RAW_FILE_ENDINGS, RAW_TABLES, SILVER
 from tallyloom.sinks.scratch import materialize, new_scratch_path
 from tallyloom.sinks.tables import read_partitions, write_partitions
 from tallyloom.sources import landing
-from tallyloom.sources.csv import CSV_FORMAT, read_raw
+from tallyloom.sources.csv import read_raw, write_raw
 from tallyloom.sources.star import raw_table, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,9 +99,7 @@ class Store:
         def export() -> str:
             path = new_scratch_path(self.spark, "delivery")
             for entity, df in raw_tables(self.spark, self.sf_dir).items():
-                df.write.options(**CSV_FORMAT, emptyValue="").csv(
-                    f"{path}/{RAW_FILE_ENDINGS[entity]}"
-                )
+                write_raw(df, f"{path}/{RAW_FILE_ENDINGS[entity]}")
             return path
 
         return self._keep("delivery", export)

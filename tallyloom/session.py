@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -28,3 +31,16 @@ def build_session(
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+@contextmanager
+def scoped(spark: SparkSession, settings: dict[str, object]) -> Iterator[None]:
+    """Runtime settings for the actions inside the block, restored afterwards."""
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -21,5 +21,15 @@ def read_raw(spark: SparkSession, bronze: str, entity: str, **options: str) -> D
     return empty_for_null(scan.csv(f"{bronze.rstrip('/')}/{entity}"))
 
 
+def write_raw(df: DataFrame, path: str) -> None:
+    """Export text columns in the same format, blanks and empty fields as they are."""
+    exact = {
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    df.write.options(**CSV_FORMAT, **exact).csv(path)
+
+
 def read_bronze(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:
     return {entity: read_raw(spark, bronze, entity) for entity in RAW_COLUMNS}
