@@ -27,6 +27,7 @@ DATES = "DATE VALIDATION"
 AMOUNTS = "AMOUNT VALIDATION"
 REFERENCES = "REFERENTIAL INTEGRITY"
 MARTS = "GOLD LAYER VALIDATION"
+ROWS = "DATA COMPLETENESS"
 DAY_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
@@ -64,31 +65,33 @@ def _future_limit(as_of: datetime.datetime | None) -> Column:
     return F.localtimestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
 
 
-def table_checks(
+def _table_plan(
     bronze: dict[str, DataFrame],
     silver: dict[str, DataFrame],
     gold: dict[str, DataFrame],
-    as_of: datetime.datetime | None = None,
-) -> DataFrame:
-    """The checks that look at the rows of one table alone."""
+    as_of: datetime.datetime | None,
+) -> list[tuple[str, DataFrame, list[Check]]]:
+    """Tables with the checks that look at their own rows alone."""
     bought, delivered = (
         F.col(c) for c in ("order_purchase_timestamp", "order_delivered_customer_date")
     )
     segment = F.col("rfm_segment")
-    plan = [
-        (bronze["orders"], [
+    return [
+        ("bronze.orders", bronze["orders"], [
             Check(NULLS, "bronze.orders_raw - null order_id", "FAIL",
                   F.count_if(~has_key("order_id"))),
         ]),
-        (bronze["customers"], [
+        ("bronze.customers", bronze["customers"], [
             Check(NULLS, "bronze.customers_raw - null customer_id", "FAIL",
                   F.count_if(~has_key("customer_id"))),
         ]),
-        (bronze["order_items"], [
+        ("bronze.order_items", bronze["order_items"], [
             Check(NULLS, "bronze.order_items_raw - null product_id", "FAIL",
                   F.count_if(~has_key("product_id"))),
         ]),
-        (silver["orders"], [
+        ("bronze.products", bronze["products"], []),
+        ("bronze.payments", bronze["payments"], []),
+        ("silver.orders", silver["orders"], [
             Check(NULLS, "silver.orders - null order_id", "FAIL",
                   F.count_if(F.col("order_id").isNull())),
             Check(DATES, "silver.orders - future order dates", "WARN",
@@ -98,30 +101,32 @@ def table_checks(
             Check(DATES, "silver.orders - invalid dt partitions", "FAIL",
                   F.count_if(~F.col("dt").rlike(DAY_PATTERN))),
         ]),
-        (silver["order_items"], [
+        ("silver.customers", silver["customers"], []),
+        ("silver.order_items", silver["order_items"], [
             Check(AMOUNTS, "silver.order_items - negative prices", "FAIL",
                   F.count_if(F.col("price") < 0)),
             Check(AMOUNTS, "silver.order_items - negative freight", "FAIL",
                   F.count_if(F.col("freight_value") < 0)),
         ]),
-        (silver["payments"], [
+        ("silver.products", silver["products"], []),
+        ("silver.payments", silver["payments"], [
             Check(AMOUNTS, "silver.payments - non-positive payment", "WARN",
                   F.count_if(F.col("total_payment_value") <= 0)),
         ]),
-        (gold["rfm_features"], [
+        ("gold.daily_kpi", gold["daily_kpi"], [
+            Check(MARTS, "gold.daily_kpi - negative GMV", "FAIL",
+                  F.count_if(F.col("gmv") < 0)),
+        ]),
+        ("gold.cohort_retention", gold["cohort_retention"], []),
+        ("gold.rfm_features", gold["rfm_features"], [
             Check(MARTS, "gold.rfm_features - missing segments", "WARN",
                   F.count_if(segment.isNull() | (segment == ""))),
         ]),
-        (gold["customer_churn_labels"], [
+        ("gold.customer_churn_labels", gold["customer_churn_labels"], [
             Check(MARTS, "gold.customer_churn_labels - invalid is_churned", "FAIL",
                   F.count_if(~F.col("is_churned").isin(0, 1))),
         ]),
-        (gold["daily_kpi"], [
-            Check(MARTS, "gold.daily_kpi - negative GMV", "FAIL",
-                  F.count_if(F.col("gmv") < 0)),
-        ]),
     ]
-    return reduce(DataFrame.unionByName, [run_checks(df, checks) for df, checks in plan])
 
 
 def key_checks(silver: dict[str, DataFrame]) -> DataFrame:
@@ -167,7 +172,42 @@ def quality_report(
 
     ``as_of`` replaces the current time in the check for future orders.
     """
-    return table_checks(bronze, silver, gold, as_of).unionByName(key_checks(silver))
+    checked = [
+        run_checks(df, checks)
+        for _, df, checks in _table_plan(bronze, silver, gold, as_of)
+        if checks
+    ]
+    return reduce(DataFrame.unionByName, [*checked, key_checks(silver)])
+
+
+def audit(
+    bronze: dict[str, DataFrame],
+    silver: dict[str, DataFrame],
+    gold: dict[str, DataFrame],
+    as_of: datetime.datetime | None = None,
+) -> DataFrame:
+    """The report and the row counts of all tables from one scan of each.
+
+    Store it and take it apart with ``audit_report`` and ``audit_row_counts``.
+    """
+    counted = [
+        run_checks(df, [Check(ROWS, name, "", F.count(F.lit(1))), *checks])
+        for name, df, checks in _table_plan(bronze, silver, gold, as_of)
+    ]
+    return reduce(DataFrame.unionByName, [*counted, key_checks(silver)])
+
+
+def audit_report(audited: DataFrame) -> DataFrame:
+    return audited.where(F.col("section") != ROWS)
+
+
+def audit_row_counts(audited: DataFrame) -> DataFrame:
+    """Completeness: (layer, table_name, row_count)."""
+    return audited.where(F.col("section") == ROWS).select(
+        F.substring_index("check_name", ".", 1).alias("layer"),
+        F.substring_index("check_name", ".", -1).alias("table_name"),
+        F.col("violations").alias("row_count"),
+    )
 
 
 def enforce(report: DataFrame, fail_on: str = "FAIL") -> DataFrame:

@@ -159,10 +159,14 @@ def _narrow(df: DataFrame, targets: list[_Target], sample_rows: int) -> list[_Ta
 
 
 def _propose(target: _Target, sample: list[tuple]) -> tuple[tuple | None, tuple | None]:
-    """Sample rows about four standard errors on either side of the target."""
+    """Sample rows about four standard errors on either side of the target.
+
+    The margin stays below an eighth of the sample, so that a small sample still
+    narrows the bracket; the target may then lie outside, which the counts show.
+    """
     share = (target.rank - target.below) / target.size
     middle = share * len(sample)
-    margin = 4 * math.sqrt(len(sample) * share * (1 - share)) + 2
+    margin = min(4 * math.sqrt(len(sample) * share * (1 - share)) + 2, len(sample) / 8)
     low, high = math.floor(middle - margin), math.ceil(middle + margin)
     return (
         sample[low] if 0 <= low < len(sample) else None,

@@ -129,13 +129,8 @@ def build_gold(warehouse: Warehouse, tables: dict[str, DataFrame]) -> dict[str,
 
 
 def summarize(run: Run) -> dict[str, DataFrame]:
-    """The summaries printed at the end of each layer and of the checks."""
+    """The figures shown at the end of each layer."""
     gold = run.gold
-    completeness = {
-        "bronze": {n: df for n, df in run.bronze.items() if n != "category_translation"},
-        "silver": run.silver,
-        "gold": {n: df for n, df in gold.items() if n != "daily_kpi_by_category"},
-    }
     return {
         "silver_row_counts": summaries.row_counts(run.silver),
         "gold_headlines": summaries.gold_headlines(
@@ -146,7 +141,6 @@ def summarize(run: Run) -> dict[str, DataFrame]:
         ),
         "segment_distribution": rfm.segment_distribution(gold["rfm_features"]),
         "churn_rate": churn.churn_rate(gold["customer_churn_labels"]),
-        "completeness": summaries.layer_row_counts(completeness),
         "date_range": summaries.date_range(run.silver["orders"]),
     }
 
@@ -170,7 +164,9 @@ def run_pipeline(
     run.silver = build_silver(warehouse, run.bronze)
     run.gold = build_gold(warehouse, run.silver)
     run.summaries = summarize(run)
-    run.report = quality.quality_report(run.bronze, run.silver, run.gold, as_of)
+    audited = materialize(quality.audit(run.bronze, run.silver, run.gold, as_of), "audit")
+    run.report = quality.audit_report(audited)
+    run.summaries["completeness"] = quality.audit_row_counts(audited)
     if fail_on:
         quality.enforce(run.report, fail_on)
     return run
