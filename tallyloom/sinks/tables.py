@@ -14,7 +14,7 @@ _ORC = {"compression": "snappy"}
 # A partitioned write opens one file per day, which costs time by the file and
 # not by the byte. The lower minimum lets a small table use all cores; a large
 # one is cut by the advisory size either way.
-_PARTITIONED_WRITE = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB"}
+_PARTITIONED_WRITE = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
 
 
 def create_database(spark: SparkSession, name: str, comment: str, location: str) -> None:
