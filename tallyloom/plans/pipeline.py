@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.operators import churn, cohort, kpi, quality, rfm, silver, summaries
 from tallyloom.schemas import RAW_COLUMNS, RAW_TABLES
-from tallyloom.sinks.scratch import materialize
+from tallyloom.sinks.scratch import materialize, temporary_table, work_database
 from tallyloom.sinks.tables import analyze, create_database, create_raw_table, write_table
 from tallyloom.sources.csv import empty_for_null
 from tallyloom.sources.landing import land_raw, landing_manifest
@@ -99,32 +99,34 @@ def build_silver(warehouse: Warehouse, bronze: dict[str, DataFrame]) -> dict[str
 def build_gold(warehouse: Warehouse, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The five marts. Order totals are stored once and serve two of them."""
     warehouse.create("gold")
+    spark = warehouse.spark
     orders, items, customers = (tables[n] for n in ("orders", "order_items", "customers"))
-    totals = materialize(kpi.order_totals(orders, items), "order_totals")
-    base = materialize(rfm.rfm_base(totals, customers, orders), "rfm_base")
-    gold = {
-        "daily_kpi": warehouse.write(
-            "gold", "daily_kpi", kpi.daily_kpi(totals), order_by=("dt",)
-        ),
-        "daily_kpi_by_category": warehouse.write(
-            "gold",
-            "daily_kpi_by_category",
-            kpi.daily_kpi_by_category(orders, items, tables["products"]),
-            order_by=("dt", F.desc("gmv"), "category"),
-        ),
-        "cohort_retention": warehouse.write(
-            "gold",
-            "cohort_retention",
-            cohort.cohort_retention(cohort.monthly_activity(orders, customers)),
-            order_by=("cohort_month", "activity_month"),
-        ),
-        "rfm_features": warehouse.write("gold", "rfm_features", rfm.rfm_features(base)),
-    }
+    with work_database(spark, warehouse.database("work")) as work:
+        totals = temporary_table(kpi.order_totals(orders, items), work, "order_totals")
+        base = temporary_table(rfm.rfm_base(totals, customers, orders), work, "rfm_base")
+        gold = {
+            "daily_kpi": warehouse.write(
+                "gold", "daily_kpi", kpi.daily_kpi(totals), order_by=("dt",)
+            ),
+            "daily_kpi_by_category": warehouse.write(
+                "gold",
+                "daily_kpi_by_category",
+                kpi.daily_kpi_by_category(orders, items, tables["products"]),
+                order_by=("dt", F.desc("gmv"), "category"),
+            ),
+            "cohort_retention": warehouse.write(
+                "gold",
+                "cohort_retention",
+                cohort.cohort_retention(cohort.monthly_activity(orders, customers)),
+                order_by=("cohort_month", "activity_month"),
+            ),
+            "rfm_features": warehouse.write("gold", "rfm_features", rfm.rfm_features(base)),
+        }
     gold["customer_churn_labels"] = warehouse.write(
         "gold", "customer_churn_labels", churn.customer_churn_labels(gold["rfm_features"])
     )
     for name in gold:
-        analyze(warehouse.spark, warehouse.table("gold", name))
+        analyze(spark, warehouse.table("gold", name))
     return gold
 
 

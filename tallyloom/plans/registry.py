@@ -200,7 +200,11 @@ QUERIES: dict[str, Query] = {
     "bronze_row_counts": lambda spark, sf_dir: summaries.row_counts(
         raw_tables(spark, sf_dir)
     ),
-    "landing_manifest": _query(lambda s: landing.landing_manifest(s.spark, s.exported())),
+    "landing_manifest": _query(
+        lambda s: landing.landing_manifest(s.spark, s.exported())
+        .groupBy("target")
+        .agg(F.sum("record_count").alias("record_count"))
+    ),
     **{f"silver_{name}": _clean(name) for name in SILVER},
     "orders_one_day": _query(_one_day),
     "orders_backfill": _query(_backfill),

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,3 +42,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def work_database(spark: SparkSession, name: str) -> Iterator[str]:
+    """A database for temporary tables, dropped with its files at the end."""
+    spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+    spark.sql(f"CREATE DATABASE `{name}` LOCATION '{new_scratch_path(spark, name)}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+
+
+def temporary_table(df: DataFrame, database: str, name: str) -> DataFrame:
+    """Store an intermediate result as a table of a work database."""
+    df.write.format("orc").mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
+    return df.sparkSession.table(f"`{database}`.`{name}`")

@@ -64,7 +64,7 @@ def land_raw(spark: SparkSession, source: str, bronze: str) -> dict[str, str]:
 
 
 def landing_manifest(spark: SparkSession, source: str) -> DataFrame:
-    """Records per entity: physical lines less one header line per file.
+    """(file, target, record_count): physical lines of each file less its header.
 
     Lines are counted per file with map-side combining, so one file holding
     most of the lines costs no more than many equal ones.
@@ -72,9 +72,8 @@ def landing_manifest(spark: SparkSession, source: str) -> DataFrame:
     counts = [
         spark.read.text(path)
         .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg((F.count(F.lit(1)) - 1).alias("records"))
-        .agg(F.sum("records").alias("record_count"))
-        .select(F.lit(entity).alias("target"), "record_count")
+        .agg((F.count(F.lit(1)) - 1).alias("record_count"))
+        .select("file", F.lit(entity).alias("target"), "record_count")
         for entity, path in source_paths(spark, source).items()
     ]
     return reduce(DataFrame.unionByName, counts)

@@ -62,8 +62,11 @@ def test_landing_keeps_every_line_and_counts_them(spark, source, tmp_path):
         assert sorted(r.value for r in landed.where(F.col("value") != header).collect()) == sorted(
             lines
         )
-    counts = {r.target: r.record_count for r in landing.landing_manifest(spark, source).collect()}
-    assert counts == {entity: len(lines) for entity, lines in LINES.items()}
+    manifest = landing.landing_manifest(spark, source).collect()
+    assert {(r.file.rsplit("/", 1)[1], r.target, r.record_count) for r in manifest} == {
+        (f"shop_{RAW_FILE_ENDINGS[entity]}", entity, len(lines))
+        for entity, lines in LINES.items()
+    }
     listing = landing.bronze_listing(spark, target).collect()
     assert len(listing) >= len(LINES) and all(r.length > 0 for r in listing)
 
@@ -168,6 +171,7 @@ def test_catalog(run, spark):
     assert tables.list_tables(spark, "t_bronze") == sorted(f"{e}_raw" for e in RAW_COLUMNS)
     assert tables.list_tables(spark, "t_silver") == sorted(SILVER)
     assert len(tables.list_tables(spark, "t_gold")) == 5
+    assert not spark.catalog.databaseExists("t_work")
     described = {
         r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED t_silver.orders").collect()
     }
