@@ -196,12 +196,14 @@ def _pick(df: DataFrame, ranking: Ranking, targets: list[_Target]) -> list[tuple
     member = F.array_compact(
         F.array(*[F.when(t.inside(), F.lit(i)) for i, (_, t) in enumerate(brackets)])
     )
+    anywhere = reduce(lambda a, b: a | b, [t.inside() for _, t in brackets])
     wanted = {(number[(t.below, t.size)], t.rank - t.below + 1): t for t in targets}
     hit = F.struct("_bracket", "_row").isin(
         [F.struct(F.lit(b), F.lit(r)) for b, r in wanted]
     )
     rows = (
-        df.select(ranking.key, ranking.tie, F.explode(member).alias("_bracket"))
+        df.where(anywhere)
+        .select(ranking.key, ranking.tie, F.explode(member).alias("_bracket"))
         .withColumn(
             "_row",
             F.row_number().over(Window.partitionBy("_bracket").orderBy(*ranking.order())),

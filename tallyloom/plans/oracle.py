@@ -458,4 +458,11 @@ def statements(parameters: dict[str, str]) -> dict[str, str]:
         "date_range": """SELECT MIN(dt) AS min_date, MAX(dt) AS max_date,
             COUNT(DISTINCT dt) AS distinct_days FROM s_orders""",
     }
+    for name, same_as in {
+        "full_run_report": "quality_report",
+        "full_run_row_counts": "completeness",
+        "full_run_rfm_features": "rfm_features",
+        "full_run_kpi_by_category": "daily_kpi_by_category",
+    }.items():
+        bodies[name] = bodies[same_as]
     return {name: _statement(body) for name, body in bodies.items()}

@@ -10,7 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyloom.operators import churn, cohort, kpi, quality, rfm, silver, summaries
 from tallyloom.schemas import RAW_COLUMNS, RAW_TABLES
 from tallyloom.sinks.scratch import materialize, temporary_table, work_database
-from tallyloom.sinks.tables import analyze, create_database, create_raw_table, write_table
+from tallyloom.sinks.tables import (
+    analyze,
+    create_database,
+    create_raw_table,
+    quick_listing,
+    write_table,
+)
 from tallyloom.sources.csv import empty_for_null
 from tallyloom.sources.landing import land_raw, landing_manifest
 
@@ -161,12 +167,15 @@ def run_pipeline(
     that shall raise.
     """
     warehouse = Warehouse(spark, root, prefix)
-    run = Run(land(warehouse, source))
-    run.bronze = build_bronze(warehouse)
-    run.silver = build_silver(warehouse, run.bronze)
-    run.gold = build_gold(warehouse, run.silver)
-    run.summaries = summarize(run)
-    audited = materialize(quality.audit(run.bronze, run.silver, run.gold, as_of), "audit")
+    with quick_listing(spark):
+        run = Run(land(warehouse, source))
+        run.bronze = build_bronze(warehouse)
+        run.silver = build_silver(warehouse, run.bronze)
+        run.gold = build_gold(warehouse, run.silver)
+        run.summaries = summarize(run)
+        audited = materialize(
+            quality.audit(run.bronze, run.silver, run.gold, as_of), "audit"
+        )
     run.report = quality.audit_report(audited)
     run.summaries["completeness"] = quality.audit_row_counts(audited)
     if fail_on:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.operators import churn, cohort, integrity, kpi, quality, rfm, silver, summaries
 from tallyloom.plans import oracle
+from tallyloom.plans.pipeline import Run, run_pipeline
 from tallyloom.schemas import RAW_COLUMNS, RAW_FILE_ENDINGS, RAW_TABLES, SILVER
 from tallyloom.sinks.scratch import materialize, new_scratch_path
 from tallyloom.sinks.tables import read_partitions, write_partitions
@@ -122,6 +124,20 @@ class Store:
 
         return self._keep("orders_by_day", write)
 
+    def full_run(self) -> Run:
+        """A run from the delivered CSV files to the checks, in its own databases."""
+
+        def run() -> Run:
+            name = f"run_{uuid4().hex[:8]}_"
+            root = new_scratch_path(self.spark, name)
+            return run_pipeline(self.spark, self.exported(), root, name, as_of())
+
+        return self._keep("full_run", run)
+
+
+def as_of() -> datetime.datetime:
+    return datetime.datetime.fromisoformat(PARAMETERS["as_of"])
+
 
 def clean(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A cleaned table straight from the raw rows."""
@@ -183,7 +199,7 @@ def _report(s: Store) -> DataFrame:
         raw_tables(s.spark, s.sf_dir),
         s.silver_tables(),
         s.gold_tables(),
-        datetime.datetime.fromisoformat(PARAMETERS["as_of"]),
+        as_of(),
     )
 
 
@@ -260,6 +276,12 @@ QUERIES: dict[str, Query] = {
     "orphan_payment_orders": _orphans("payments", "orders", "order_id"),
     "quality_report": _query(_report),
     "completeness": _query(_completeness),
+    "full_run_report": _query(lambda s: s.full_run().report),
+    "full_run_row_counts": _query(lambda s: s.full_run().summaries["completeness"]),
+    "full_run_rfm_features": _query(lambda s: s.full_run().gold["rfm_features"]),
+    "full_run_kpi_by_category": _query(
+        lambda s: s.full_run().gold["daily_kpi_by_category"]
+    ),
     "date_range": _query(lambda s: summaries.date_range(s.silver("orders"))),
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import AbstractContextManager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -17,6 +19,12 @@ _ORC = {"compression": "snappy"}
 _PARTITIONED_WRITE = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
 
 
+def quick_listing(spark: SparkSession) -> AbstractContextManager[None]:
+    """List partition folders with a task per core; the default is one per folder."""
+    lister = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    return scoped(spark, {lister: spark.sparkContext.defaultParallelism})
+
+
 def create_database(spark: SparkSession, name: str, comment: str, location: str) -> None:
     spark.sql(
         f"CREATE DATABASE IF NOT EXISTS `{name}` COMMENT '{comment}' LOCATION '{location}'"
@@ -78,12 +86,8 @@ def write_partitions(df: DataFrame, location: str, partition_by: tuple[str, ...]
 
 
 def read_partitions(spark: SparkSession, location: str, schema: StructType) -> DataFrame:
-    """Scan partitioned ORC. The schema keeps partition values as declared.
-
-    Folders are listed by a Spark job; by default it has a task per folder.
-    """
-    lister = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    with scoped(spark, {lister: spark.sparkContext.defaultParallelism}):
+    """Scan partitioned ORC. The schema keeps partition values as declared."""
+    with quick_listing(spark):
         return spark.read.schema(schema).orc(location)
 
 
