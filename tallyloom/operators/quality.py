@@ -62,7 +62,10 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
 
 
 def _future_limit(as_of: datetime.datetime | None) -> Column:
-    return F.localtimestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+    """Wall-clock time; as text, so that no session time zone shifts it."""
+    if as_of is None:
+        return F.localtimestamp()
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def _table_plan(

@@ -78,8 +78,13 @@ EXPECTED = {
 AS_OF = _at("2018-01-02T12:00:00")
 
 
-def test_every_check_counts_its_bad_rows(layers):
-    report = quality.quality_report(*layers, as_of=AS_OF).collect()
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Tokyo"])
+def test_every_check_counts_its_bad_rows(spark, layers, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        report = quality.quality_report(*layers, as_of=AS_OF).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert {r.check_name: (r.violations, r.status) for r in report} == EXPECTED
     assert all(r.severity == r.status for r in report)
 
