@@ -120,6 +120,8 @@ def _locate(df, targets, leaf_rows, sample_rows) -> list[tuple[_Target, tuple]]:
             break
         narrowed = _narrow(df, wide, sample_rows)
         targets = [t for t in targets if t.size <= leaf_rows] + narrowed
+    else:
+        raise ValueError("the tie column does not tell rows with equal keys apart")
     by_ranking: dict[Ranking, list[_Target]] = {}
     for target in targets:
         by_ranking.setdefault(target.ranking, []).append(target)

@@ -71,6 +71,12 @@ def test_a_poor_sample_costs_rounds_and_not_exactness(spark):
     df.unpersist()
 
 
+def test_equal_ties_are_an_error_and_not_one_large_task(spark):
+    same = spark.range(200).select(F.lit(1).alias("key"), F.lit("a").alias("tie"))
+    with pytest.raises(ValueError, match="tie column"):
+        global_ntile(same, {"t": Ranking("key", "tie")}, k=2, leaf_rows=10, sample_rows=20)
+
+
 def test_the_tiles_need_no_shuffle_of_the_table(spark):
     df = spark.range(100).select(
         F.col("id").alias("key"), F.col("id").cast("string").alias("tie")
