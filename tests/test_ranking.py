@@ -41,7 +41,7 @@ def test_matches_the_window_function(spark, kind, n):
     expected = {name: _expected(df, ranking, 5) for name, ranking in rankings.items()}
     assert _tiles(df, rankings) == expected
     if n == 1000 and kind in ("mixed", "spread"):
-        assert _tiles(df, rankings, leaf_rows=20, sample_rows=50) == expected
+        assert _tiles(df, rankings, leaf_rows=60, sample_rows=200) == expected
     df.unpersist()
 
 
@@ -55,9 +55,9 @@ def test_narrowing_finds_boundaries_inside_one_hot_key(spark):
         .cache()
     )
     rankings = {"up": Ranking("key", "tie"), "down": Ranking("key", "tie", descending=True)}
-    got = _tiles(df, rankings, k=7, leaf_rows=100, sample_rows=400)
+    got = _tiles(df, rankings, k=5, leaf_rows=1_000, sample_rows=400)
     for name, ranking in rankings.items():
-        assert got[name] == _expected(df, ranking, 7)
+        assert got[name] == _expected(df, ranking, 5)
     df.unpersist()
 
 
