@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tallyloom.plans import registry
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +27,8 @@ def _sorted(rows):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLE.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
