@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import byte_bpe
+from tallyloom.llm import byte_bpe, url_rules
 from tallyloom.llm.tables import table
 
 
@@ -19,6 +19,28 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Hosts and path prefixes that a URL is held against first.
+SITE_RULES = [
+    *url_rules.site_rule("allow", "org", "/"),
+    *url_rules.site_rule("block", "example.org", "/es/"),
+    *url_rules.site_rule("block", "example.org", "/en/1"),
+    *url_rules.site_rule("allow", "com", "/fr/"),
+    *url_rules.site_rule("block", "com", "/de/"),
+]
+#: Words of hosts that carry little but advertising, malware or copied media.
+BLOCKED_WORDS = (
+    "spam", "casino", "cheap-pills", "pharmacy", "viagra", "porn", "xxx", "escort", "lottery",
+    "betting", "poker", "payday", "warez", "torrent", "keygen", "adserver", "doubleclick",
+    "tracker", "phish", "malware", "clickbait", "free-money", "replica-watch",
+)
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    others = [rule for word in BLOCKED_WORDS for rule in url_rules.word_rule("block", word)]
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), SITE_RULES, others)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_url_filter": op8_url_filter,
 }
