@@ -7,9 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import byte_bpe, language_id, url_rules
+from tallyloom.llm import byte_bpe, chat_format, language_id, url_rules
 from tallyloom.llm.tables import table
 
+#: A conversation whose texts are control strings of a chat template.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    return chat_format.digests(chat_format.format_conversations(turns.union(control)))
+
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(
@@ -49,6 +63,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_url_filter": op8_url_filter,
     "op9_language_id": op9_language_id,

@@ -2,7 +2,38 @@
 
 from __future__ import annotations
 
-from tallyloom.llm.queries import BLOCKED_WORDS
+from functools import reduce
+
+from tallyloom.llm.chat_format import CLOSE, CONT, CONTROL, OPEN, SEP
+from tallyloom.llm.queries import BLOCKED_WORDS, CONTROL_TEXT
+
+
+def _escaped(column: str) -> str:
+    breaks = [("\\", "\\\\"), *((c, f"{c[0]}\\{c[1:]}") for c in CONTROL)]
+    return reduce(lambda out, pair: f"replace({out}, '{pair[0]}', '{pair[1]}')", breaks, column)
+
+
+def chat_format() -> str:
+    return f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}')
+), sides AS (
+  SELECT *, lag(role) OVER said IS NOT DISTINCT FROM role AS goes_on
+  FROM turns WINDOW said AS (PARTITION BY conv_id ORDER BY turn, role, text)
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       sum(length({_escaped('text')})
+           + CASE WHEN goes_on THEN {len(CONT)}
+                  ELSE {len(OPEN) + len(SEP) + len(CLOSE)} + length({_escaped('role')}) END)::BIGINT
+         AS formatted_chars
+FROM sides GROUP BY conv_id
+"""
 
 
 def url_filter() -> str:
@@ -47,5 +78,6 @@ FROM words LEFT JOIN fits USING (page_id)
 
 
 STATEMENTS: dict[str, str] = {
+    "op1_chat_format": chat_format(),
     "op8_url_filter": url_filter(),
 }
