@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import byte_bpe, chat_format, language_id, license_scan, url_rules
+from tallyloom.llm import byte_bpe, chat_format, language_id, license_scan, near_dedup, url_rules
 from tallyloom.llm.tables import table
 
 #: A conversation whose texts are control strings of a chat template.
@@ -29,6 +29,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(
         table(spark, sf_dir, "documents"),
@@ -69,6 +73,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_license_scan": op2_license_scan,
+    "op3_near_dedup": op3_near_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_url_filter": op8_url_filter,
     "op9_language_id": op9_language_id,

@@ -77,7 +77,41 @@ FROM words LEFT JOIN fits USING (page_id)
 """
 
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id,
+         [x FOR x IN string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x20\x09-\x0D]+') IF x <> ''] AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id,
+         CASE WHEN len(w) = 0 THEN []
+              WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])
+         END AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), edges AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reached(node, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT node, b FROM reached JOIN edges ON other = a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN (SELECT node AS doc_id, min(other) AS component_id FROM reached GROUP BY node) USING (doc_id)
+"""
+
+
 STATEMENTS: dict[str, str] = {
     "op1_chat_format": chat_format(),
+    "op3_near_dedup": NEAR_DUPLICATES,
     "op8_url_filter": url_filter(),
 }
