@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import byte_bpe, chat_format, language_id, license_scan, near_dedup, url_rules
+from tallyloom.llm import byte_bpe, chat_format, language_id, license_scan, near_dedup, substring_dedup, url_rules
 from tallyloom.llm.tables import table
 
 #: A conversation whose texts are control strings of a chat template.
@@ -33,6 +33,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(
         table(spark, sf_dir, "documents"),
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_license_scan": op2_license_scan,
     "op3_near_dedup": op3_near_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_url_filter": op8_url_filter,
     "op9_language_id": op9_language_id,

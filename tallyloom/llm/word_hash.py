@@ -23,35 +23,42 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of some texts, A-Z lower-cased, and the number of words of each text.
+def words_of(
+    data: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, byte after the last, hash of all words of some texts; and words per text.
 
-    Words are runs of bytes other than the blank and 0x09 to 0x0D. Equal words have
-    equal hashes; a word's hash does not depend on its place.
+    Words are runs of bytes other than the blank and 0x09 to 0x0D, hashed with A-Z
+    lower-cased. Equal words have equal hashes; a word's hash does not depend on its place.
+    Places count from the first byte of the first text.
     """
     data = data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
     inside = ~_SPACE[data]
-    before = np.empty_like(inside)
-    before[0], before[1:] = False, inside[:-1]
+    before = np.zeros_like(inside)
+    before[1:] = inside[:-1]
     edges = offsets[:-1]
     before[edges[edges < len(data)]] = False  # a text's first byte begins a word
     starts = np.flatnonzero(inside & ~before)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
     # Each byte's place in its word; bytes between the words add nothing to the sums.
     begins = np.concatenate([[0], starts])
     place = np.arange(len(data)) - np.repeat(begins, np.diff(np.append(begins, len(data))))
     value = _TABLE[((place & (_PLACES - 1)) << 8) | _FOLD[data]]
-    value[~inside] = 0
     long = place >= _PLACES
     if long.any():  # so that parts of long words do not trade places
         value[long] = mix(value[long] + place[long].astype(np.uint64))
-        value[~inside] = 0
+    value[~inside] = 0
     hashes = mix(np.add.reduceat(value, starts))
-    return hashes, np.diff(np.searchsorted(starts, offsets)).astype(np.int64)
+    ends = starts + np.add.reduceat(inside.astype(np.int64), starts)
+    return starts, ends, hashes, np.diff(np.searchsorted(starts, offsets)).astype(np.int64)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of some texts and the number of words of each text."""
+    return words_of(data, offsets)[2:]
 
 
 def run_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
