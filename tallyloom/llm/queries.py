@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import byte_bpe, chat_format, language_id, license_scan, near_dedup, substring_dedup, url_rules
+from tallyloom.llm import byte_bpe, chat_format, language_id, license_scan, mixing, near_dedup, substring_dedup, url_rules
 from tallyloom.llm.tables import table
 
 #: A conversation whose texts are control strings of a chat template.
@@ -75,6 +75,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sampling_plan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_license_scan": op2_license_scan,
@@ -83,4 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op8_url_filter": op8_url_filter,
     "op9_language_id": op9_language_id,
+    "op10_mixing": op10_mixing,
 }
