@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import byte_bpe, chat_format, language_id, license_scan, mixing, near_dedup, substring_dedup, url_rules
+from tallyloom.llm import byte_bpe, chat_format, fingerprint, language_id, license_scan, mixing, near_dedup, substring_dedup, url_rules
 from tallyloom.llm.tables import table
 
 #: A conversation whose texts are control strings of a chat template.
@@ -38,6 +38,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs)
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(
         table(spark, sf_dir, "documents"),
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_near_dedup": op3_near_dedup,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_fingerprint": op5_fingerprint,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_url_filter": op8_url_filter,
     "op9_language_id": op9_language_id,
