@@ -34,6 +34,8 @@ from tallyloom.sinks.scratch import materialize
 COORDINATES = 64
 #: Chance that two sets at the threshold agree in fewer coordinates than asked for.
 MISS = 1e-7
+#: Shingles of more left-over nodes than this are common, the others rare.
+RARE = 32
 
 
 def matches_needed(percent: int, coordinates: int = COORDINATES, miss: float = MISS) -> int:
@@ -197,23 +199,38 @@ def _rare_pairs(
     n = F.size("ranked")
     smallest = F.greatest("least", F.ceil(n * percent / 100 - 1e-9))
     width = F.greatest(n - _overlap(n, smallest, percent) + 1, F.lit(0)).cast("int")
-    shared = F.size(F.filter("ranked", lambda r: r["often"] > 1))
+    # A pair that meets in a common shingle first has no rarer one in common, since the rarer ones
+    # of both come before it: then only their common shingles can be shared.
     rare = (
         ranked.join(least, "node")
         .join(labels, "node")
-        .select("node", "label", n.alias("n"), shared.alias("shared"), F.slice("ranked", F.lit(1), width).alias("rare"))
-        .select("node", "label", "n", "shared", F.explode(F.filter("rare", lambda r: r["often"] > 1)["shingle"]).alias("shingle"))
-    )
+        .select(
+            "node",
+            "label",
+            n.alias("n"),
+            F.size(F.filter("ranked", lambda r: r["often"] > 1)).alias("shared"),
+            F.size(F.filter("ranked", lambda r: r["often"] > RARE)).alias("common"),
+            F.slice("ranked", F.lit(1), width).alias("rarest"),
+        )
+        .select(
+            "node", "label", "n", "shared", "common",
+            F.inline(F.filter("rarest", lambda r: r["often"] > 1)),
+        )
+        .select(
+            "shingle", "node", "label", "n",
+            F.when(F.col("often") > RARE, F.col("common")).otherwise(F.col("shared")).alias("most"),
+        )
+    )
     rare = materialize(rare, "rare_shingles")
-    left = rare.join(odd, "node").select("shingle", *(F.col(c).alias(f"a_{c}") for c in ("node", "label", "n", "shared")))
-    right = rare.select("shingle", *(F.col(c).alias(f"b_{c}") for c in ("node", "label", "n", "shared")))
-    most = F.least("a_shared", "b_shared")
+    sides = ("node", "label", "n", "most")
+    left = rare.join(odd, "node").select("shingle", *(F.col(c).alias(f"a_{c}") for c in sides))
+    right = rare.select("shingle", *(F.col(c).alias(f"b_{c}") for c in sides))
     return (
         left.join(
             right,
             (left["shingle"] == right["shingle"])
             & (F.col("a_label") != F.col("b_label"))
-            & (most >= _overlap(F.col("a_n"), F.col("b_n"), percent)),
+            & (F.least("a_most", "b_most") >= _overlap(F.col("a_n"), F.col("b_n"), percent)),
         )
         .select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b"))
         .distinct()
