@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import byte_bpe, chat_format, fingerprint, language_id, license_scan, mixing, near_dedup, substring_dedup, url_rules
+from tallyloom.llm import (
+    byte_bpe,
+    chat_format,
+    fingerprint,
+    language_id,
+    license_scan,
+    mixing,
+    near_dedup,
+    neighbours,
+    substring_dedup,
+    url_rules,
+)
 from tallyloom.llm.tables import table
 
 #: A conversation whose texts are control strings of a chat template.
@@ -50,6 +61,12 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(
+        table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 100 == 0
+    )
+
+
 #: Hosts and path prefixes that a URL is held against first.
 SITE_RULES = [
     *url_rules.site_rule("allow", "org", "/"),
@@ -90,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_fingerprint": op5_fingerprint,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_neighbours": op7_neighbours,
     "op8_url_filter": op8_url_filter,
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
