@@ -2,19 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm.tables import table
+from tallyloom.llm import byte_bpe, language_id, mixing, near_dedup, substring_dedup
+from tallyloom.llm.tables import ship_package, table
 from tallyloom.sinks.scratch import materialize
 
-STAGES = []
+#: Shares of a document's letters that must be of its language; und has none.
+LEAST_LANGUAGE_SCORE = 0.4
+#: Words of a shingle and percent of the union that near duplicates share.
+SHINGLE_WORDS, NEAR_PERCENT = 5, 80
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are mostly of one learned language; null texts and texts without a letter go."""
+    ship_package(spark)
+    network = language_id.train_network(docs)
+    found = language_id.identify(docs, network, keep=tuple(docs.columns))
+    sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    return found.where(sure).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that of the smallest id."""
+    ship_package(spark)
+    found = near_dedup.near_duplicates(docs, size=SHINGLE_WORDS, percent=NEAR_PERCENT)
+    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without their repeated passages; those of which nothing is left go."""
+    ship_package(spark)
+    cut = substring_dedup.remove_repeats(docs)
+    left = (F.col("n_removed") == 0) | F.col("text").rlike(r"\S")
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.where(left).withColumn("n_chars", length).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn so that sources, languages and topics have their target weights."""
+    return mixing.mixed(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, tokens, ids and the hashes of ids and of decoded bytes."""
+    ship_package(spark)
+    return byte_bpe.encode_documents(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True
+    )
+
+
+STAGES = [
+    ("language_id", keep_known_languages),
+    ("near_dedup", drop_near_duplicates),
+    ("substring_dedup", cut_repeats),
+    ("mixing", mix_sources),
+    ("byte_bpe", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over the documents of a folder."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage_{name}")
     return docs
 
 
+#: Learned predictions cannot be told in SQL; the stages are tested against plain versions.
 ORACLE_SQL = None

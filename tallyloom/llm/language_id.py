@@ -9,6 +9,7 @@ gate is one contiguous block.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -221,16 +222,24 @@ def train_network(
     text: str = "text",
     label: str = "lang",
 ) -> Network | None:
-    """A network trained on the sample; None if no row has a label."""
-    rows = sorted(tuple(row) for row in training_sample(docs, settings, key, text, label).collect())
-    languages = sorted({language for language, *_ in rows})
-    if not languages:
-        return None
-    network = Network(settings.hidden, languages, settings.seed)
-    if len(languages) > 1:
-        x = encode_segments([snippet.encode() for _, _, snippet, _ in rows])
-        network.train(x, np.array([languages.index(row[0]) for row in rows]), settings)
-    return network
+    """A network trained on the sample by one task; None if no row has a label."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(
+            row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns))
+        )
+        languages = sorted({language for language, *_ in rows})
+        if not languages:
+            return
+        network = Network(settings.hidden, languages, settings.seed)
+        if len(languages) > 1:
+            x = encode_segments([snippet.encode() for _, _, snippet, _ in rows])
+            network.train(x, np.array([languages.index(row[0]) for row in rows]), settings)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)])], ["network"])
+
+    sample = training_sample(docs, settings, key, text, label)
+    trained = sample.coalesce(1).mapInArrow(run, "network binary").collect()
+    return pickle.loads(trained[0][0]) if trained else None
 
 
 def identify(
