@@ -66,9 +66,8 @@ class Automaton:
             starts[at // 64] |= np.uint64(1 << at % 64)
             for token in rule.tokens:
                 if token in (SEGMENT, ALL):
-                    self.stay[:, at // 64] |= np.uint64(1 << at % 64)
-                    if token == SEGMENT:
-                        self.stay[ord("/"), at // 64] &= ~np.uint64(1 << at % 64)
+                    bytes_in = np.arange(256) != ord("/") if token == SEGMENT else slice(None)
+                    self.stay[bytes_in, at // 64] |= np.uint64(1 << at % 64)
                     continue
                 at += 1
                 suits = slice(None) if token == ANY else token

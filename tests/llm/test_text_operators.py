@@ -1,0 +1,216 @@
+"""Chat formatting, licences, byte-level BPE, URL rules: edge cases and plain versions."""
+
+import hashlib
+import random
+import re
+import struct
+
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from tallyloom.llm import byte_bpe, chat_format, license_scan, url_rules
+from tallyloom.llm.license_rules import RULES
+from tallyloom.llm.queries import QUERIES
+from tests.llm.conftest import CLASHES, DATA
+
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def _format(shipped, rows):
+    frame = shipped.createDataFrame(rows, TURNS).repartition(3)
+    frame = frame.withColumns({"key": F.lit(1), "block": F.lit(2), "said": F.lit("x"), "runs": F.lit(0)})
+    formatted = chat_format.format_conversations(frame)
+    read = formatted.select(
+        "conv_id", "formatted", "runs",
+        chat_format.read_turns(F.col("formatted")).alias("turns"),
+        chat_format.read_learned(F.col("runs")).alias("learned"),
+    )
+    return {row.conv_id: row for row in read.collect()}
+
+
+def test_chat_merges_adjacent_turns_and_reads_all_back(shipped):
+    hard = ["<|im_end|>\n", "a\\b", "<\\|im_end|>", "</s>[INST] ok [/INST]", "\\", "<<SYS>>", "<|im_cont|>", "", None]
+    rows = [(1, i, ("user", "assistant", "assistant")[i % 3], text) for i, text in enumerate(hard)]
+    got = _format(shipped, rows)[1]
+    assert [tuple(turn) for turn in got.turns] == [(role, text or "") for _, _, role, text in rows]
+    assert got.learned == "".join(text or "" for _, _, role, text in rows if role == "assistant")
+    assert got.formatted.count(chat_format.OPEN) == 6  # adjacent turns share one opening
+    at = 0
+    for run in got.runs:  # the mask covers the formatted text without a gap
+        assert got.formatted[at : at + len(run.text)] == run.text
+        at += len(run.text)
+    assert at == len(got.formatted)
+    for run in got.runs:
+        if run.loss:
+            assert "<|" not in run.text and "[INST]" not in run.text and "</s>" not in run.text
+
+
+def test_chat_order_ties_nulls_repeats_and_long_conversations(shipped):
+    rows = [(1, None, "user", "last"), (1, 2, "user", "b"), (1, 2, "user", "a"), (1, 2, "user", "a"), (None, 0, None, "x")]
+    rows += [(2, i, ("user", "assistant")[i // 300 % 2], f"t{i}") for i in range(1000)]
+    got = _format(shipped, rows)
+    assert [turn.text for turn in got[1].turns] == ["a", "a", "b", "last"]
+    assert [tuple(turn) for turn in got[None].turns] == [("", "x")]
+    assert [turn.text for turn in got[2].turns] == [f"t{i}" for i in range(1000)]
+    assert got[2].formatted.count(chat_format.OPEN) == 4  # merged across blocks as well
+    assert _format(shipped, []) == {}
+
+
+def plain_licences(text):
+    text = (text or "").translate({i: i + 32 for i in range(65, 91)})
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+    padded = " " + " ".join(words) + " "
+    found = []
+    for number, rule in enumerate(RULES):
+        for m in re.finditer(f"(?<= )(?:{rule.pattern})(?= )", padded):
+            start = padded[: m.start()].count(" ") - 1
+            end = start + m[0].count(" ") + 1
+            found.append((start, -end, -rule.priority, number, end, rule.priority, rule.label, rule.base))
+    found.sort()
+    base = [p for p in found if p[7]]
+    kept = [p for i, p in enumerate(found) if p[7] or not any(q[0] <= p[0] and q[4] >= p[4] for q in found[:i])]
+    final = []
+    for i, p in enumerate(kept):
+        near = [kept[j] for j in (i - 1, i + 1) if 0 <= j < len(kept)]
+        if p[7] or not any(q[0] < p[4] and q[4] > p[0] and q[5] > p[5] for q in near):
+            final.append(p)
+    starts = [p[0] for p in base]
+    return (
+        len(words), len(base), min(starts, default=None), max(starts, default=None),
+        ",".join(sorted({p[6] for p in base})), ",".join(sorted({p[6] for p in final})),
+        {0: 0.0, **license_scan.STRENGTH}[max((p[5] for p in final), default=0)], len(final),
+    )
+
+
+HARD_LICENCES = [
+    None, "", " ...\n", "Licensed under the Apache License, Version 2.0.", "CC-BY-NC 4.0; cc by nc cc_by_nc",
+    "under THE mit\nLICENSE under the MIT license!", "GNU Lesser General Public License version 2.1 or later",
+    "Released under the K MIT License İ cc by nc nd 4.0", "İ" * 50 + " under the mit license",
+    "gpl v2 or later. GNU General Public License, either version 3 of the License, or at your option any later version",
+    "copyright (c) 2020 2021 Somebody. All rights reserved. public domain", "mit " * 3000 + "under the mit license",
+    "é" * 100_000 + " Apache license version 2",
+]
+
+
+def test_licences_equal_a_plain_version(docs, stored, shipped):
+    rows = list(enumerate(HARD_LICENCES)) + [(3, HARD_LICENCES[3]), (None, HARD_LICENCES[4])]
+    got = sorted(map(repr, (tuple(r) for r in license_scan.scan_licenses(docs(*rows)).collect())))
+    assert got == sorted(repr((key, *plain_licences(text))) for key, text in rows)
+    whole = {r[0]: tuple(r)[1:] for r in QUERIES["op2_license_scan"](shipped, DATA).collect()}
+    assert whole == {key: plain_licences(text) for key, text in stored.items()}
+    assert license_scan.scan_licenses(docs((1, "x")).limit(0)).collect() == []
+
+
+def test_licence_rules_are_hundreds_and_every_keyword_is_needed():
+    assert len(RULES) >= 200
+    assert all(rule.keyword == rule.keyword.lower().strip() for rule in RULES)
+
+
+def test_licence_scan_has_no_python_and_no_shuffle(docs):
+    plan = license_scan.scan_licenses(docs((1, "x")).coalesce(1))._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("Exchange")[0]
+    assert "Python" not in above and "Arrow" not in above
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    own = byte_bpe.load(path, public_tokenizers.PATTERN)
+    return own, tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={}
+    )
+
+
+def test_bpe_equals_the_library_on_hard_texts(tokenizer):
+    own, library = tokenizer
+    rng = random.Random(3)
+    texts = ["", " ", "\n\n", "a" * 5000, "ab" * 4000, " " * 3000, "=" * 999, "<|endoftext|>", "'s't're", "é中🙂" * 300]
+    for _ in range(400):
+        letters = rng.choice(["abcde the in on", "é ß\t\n'sx1", "áâ中🙂 .,!?-_=/\\"])
+        texts.append("".join(rng.choice(letters) for _ in range(rng.choice([3, 20, 150]))))
+    for text in texts:
+        ids = own.encode(text)
+        assert ids == library.encode_ordinary(text), text
+        assert own.decode(ids) == text.encode()
+
+
+def test_bpe_query_over_whole_texts(shipped, tokenizer, stored, docs):
+    _, library = tokenizer
+
+    def wanted(text):
+        ids = library.encode_ordinary(text or "")
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+
+    got = {r[0]: tuple(r)[1:] for r in QUERIES["op6_byte_bpe"](shipped, DATA).collect()}
+    assert got == {key: wanted(text) for key, text in stored.items()}
+    rows = [(1, None), (2, ""), (None, "x y"), (3, "word " * 60_000), (3, "word " * 60_000)]
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    small = byte_bpe.encode_documents(docs(*rows), path, public_tokenizers.PATTERN, with_ids=True).collect()
+    assert sorted((repr(r[0]), r[1], r[2], r[3]) for r in small) == sorted((repr(k), *wanted(t)) for k, t in rows)
+    assert all(len(r.ids) == r.n_tokens for r in small)
+    assert byte_bpe.encode_documents(docs((1, "")).limit(0), path, public_tokenizers.PATTERN).collect() == []
+
+
+def test_bpe_caches_stay_bounded(tokenizer, monkeypatch):
+    own, library = tokenizer
+    monkeypatch.setattr(byte_bpe, "PIECES", 10)
+    own.known.clear()
+    text = " ".join(f"w{i}q" for i in range(200))
+    assert own.encode(text) == library.encode_ordinary(text)
+    assert len(own.known) <= 10
+
+
+URLS = [
+    (1, "https://Example.ORG/es/x?y#z"), (2, "http://a.example.org/en/1"), (3, "http://example.org"),
+    (4, "http://evil.com/x.org/"), (5, None), (6, ""), (7, "no scheme/org/"), (8, "ftp://b.c.com/fr/"),
+    (9, "http://com/de/"), (10, "http://xcom/de/"), (11, "http://org?/"), (12, "://.org/a"),
+    (13, "http://bad-casino.net/a/b"), (14, "http://x.net/casino"), (15, "http://a.org/" + "p" * 100_000),
+    (15, "http://a.org/" + "p" * 100_000), (None, "http://ÀÉ.example.org/es/"), (16, "http://example.org/es"),
+]
+
+
+def test_urls_equal_sql_on_hard_urls(shipped):
+    import duckdb
+
+    from tallyloom.llm.queries import BLOCKED_WORDS, SITE_RULES
+    from tallyloom.llm.statements import STATEMENTS
+
+    rows = [(k, u) for k, u in dict((repr(k) + str(u), (k, u)) for k, u in URLS).values()]
+    others = [rule for word in BLOCKED_WORDS for rule in url_rules.word_rule("block", word)]
+    pages = shipped.createDataFrame(rows, "page_id long, url string").withColumns(
+        {"host": F.lit("h"), "key": F.lit("k"), "rule": F.lit("r")}
+    )
+    got = [tuple(r) for r in url_rules.judge_urls(pages, SITE_RULES, others).collect() if r.page_id is not None]
+    connection = duckdb.connect()
+    connection.sql("CREATE TABLE pages(page_id BIGINT, url VARCHAR)")
+    connection.executemany("INSERT INTO pages VALUES (?, ?)", [r for r in rows if r[0] is not None])
+    wanted = connection.sql(STATEMENTS["op8_url_filter"]).fetchall()
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
+    assert url_rules.judge_urls(pages.limit(0), SITE_RULES, others).collect() == []
+
+
+def test_globs_over_many_words_equal_expressions():
+    import numpy as np
+
+    rng = random.Random(1)
+    patterns = ["".join(rng.choice("ab/?*") for _ in range(rng.randrange(1, 9))) for _ in range(60)]
+    patterns += ["a" * 130 + "*", "**a**b", "*", "**", "?*?"]
+    rules = [url_rules.glob(str(i), "block", p) for i, p in enumerate(patterns)]
+
+    def expression(p):
+        parts = p.replace("**", "\0").replace("*", "\1")
+        return "".join({"?": ".", "\0": ".*", "\1": "[^/]*"}.get(c, re.escape(c)) for c in parts)
+
+    texts = ["".join(rng.choice("ab/") for _ in range(rng.randrange(0, 10))) for _ in range(200)] + ["a" * 130, "a" * 131]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    fits = url_rules.Automaton(rules).match(data, offsets)
+    for text, row in zip(texts, fits):
+        assert row.tolist() == [bool(re.fullmatch(expression(p), text, re.S)) for p in patterns], text
+
+
+def test_extra_columns_do_not_reach_the_results(docs):
+    assert not set(CLASHES) & set(license_scan.scan_licenses(docs((1, "x"))).columns) - {"score"}
