@@ -171,22 +171,22 @@ def _pivot_pairs(lists: DataFrame, labels: DataFrame, salt: Column) -> DataFrame
     )
 
 
-def _left_over(lists: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes of lists with several labels, and those of them outside a list's commonest label."""
+def _left_over(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, odd): nodes of lists with several labels; odd ones are outside a list's commonest label."""
     labelled = lists.join(labels, "node")
     groups = labelled.groupBy("post", "label").agg(F.count("*").alias("held"))
     mixed = groups.groupBy("post").agg(
         F.max(F.struct("held", "label"))["label"].alias("common"), F.count("*").alias("labels")
     )
     of = labelled.join(mixed.where(F.col("labels") > 1), "post")
-    return of.select("node").distinct(), of.where(F.col("label") != F.col("common")).select("node").distinct()
+    return of.groupBy("node").agg(F.max(F.col("label") != F.col("common")).alias("odd"))
 
 
 def _rare_pairs(
     lists: DataFrame, live: DataFrame, labels: DataFrame, percent: int
 ) -> DataFrame:
     """Pairs of a left-over node and a node of another label that may be linked by their shingles."""
-    of, odd = (materialize(df, "left_over") for df in _left_over(lists, labels))
+    of = materialize(_left_over(lists, labels), "left_over")
     sizes = live.select("node", F.size("shingles").alias("n"))
     least = lists.join(sizes, "node")
     least = least.join(least.groupBy("post").agg(F.min("n").alias("least")), "post")
@@ -204,39 +204,48 @@ def _rare_pairs(
     rare = (
         ranked.join(least, "node")
         .join(labels, "node")
+        .join(of, "node")
         .select(
             "node",
             "label",
+            "odd",
             n.alias("n"),
             F.size(F.filter("ranked", lambda r: r["often"] > 1)).alias("shared"),
             F.size(F.filter("ranked", lambda r: r["often"] > RARE)).alias("common"),
-            F.slice("ranked", F.lit(1), width).alias("rarest"),
+            F.filter(F.slice("ranked", F.lit(1), width), lambda r: r["often"] > 1).alias("rarest"),
         )
         .select(
-            "node", "label", "n", "shared", "common",
-            F.inline(F.filter("rarest", lambda r: r["often"] > 1)),
+            "node", "label", "odd", "n", "shared", "common",
+            F.transform("rarest", lambda r: r["shingle"]).alias("rarest"), F.inline("rarest"),
         )
         .select(
-            "shingle", "node", "label", "n",
+            "shingle", "node", "label", "odd", "n", "rarest",
             F.when(F.col("often") > RARE, F.col("common")).otherwise(F.col("shared")).alias("most"),
         )
     )
     rare = materialize(rare, "rare_shingles")
-    sides = ("node", "label", "n", "most")
-    left = rare.join(odd, "node").select("shingle", *(F.col(c).alias(f"a_{c}") for c in sides))
+    sides = ("node", "label", "n", "most", "rarest")
+    left = rare.where("odd").select("shingle", *(F.col(c).alias(f"a_{c}") for c in sides))
     right = rare.select("shingle", *(F.col(c).alias(f"b_{c}") for c in sides))
     return (
         left.join(
             right,
             (left["shingle"] == right["shingle"])
             & (F.col("a_label") != F.col("b_label"))
-            & (F.least("a_most", "b_most") >= _overlap(F.col("a_n"), F.col("b_n"), percent)),
+            & (F.least("a_most", "b_most") >= _overlap(F.col("a_n"), F.col("b_n"), percent))
+            # once for a pair: where it first meets
+            & (F.get(F.array_intersect("a_rarest", "b_rarest"), F.lit(0)) == left["shingle"]),
         )
         .select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b"))
         .distinct()
     )
 
 
+def _labels(nodes: DataFrame, known: DataFrame) -> DataFrame:
+    """A label for each node, its own key where none is known."""
+    return nodes.join(known, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -286,19 +295,22 @@ def near_duplicates(
         .distinct(),
         "links",
     )
-    labels = prefixes.select("node", F.col("node").alias("label")).distinct()
-    for step in ("one node for all lists", "a node for each list", "rare shingles"):
-        if step == "rare shingles":
-            pairs = _rare_pairs(lists, live, labels, percent)
-        else:
-            own = [F.col("post")] if step == "a node for each list" else []
-            pairs = _pivot_pairs(lists, labels, F.xxhash64("node", *own))
-        links = materialize(links.union(_confirmed(pairs, live, matches, percent)), "links")
-        tied = materialize(components(links), "components")
-        labels = (
-            prefixes.select("node").distinct().join(tied, "node", "left")
-            .select("node", F.coalesce("component", "node").alias("label"))
-        )
+    nodes = prefixes.select("node").distinct()
+    pairs = _pivot_pairs(lists, nodes.withColumn("label", F.col("node")), F.xxhash64("node"))
+    found_first = materialize(_confirmed(pairs, live, matches, percent), "links")
+    # The smallest confirmed partner will do as a label here: who has the same one is linked.
+    ends = found_first.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
+        found_first.select(F.col("b").alias("node"), F.col("b").alias("label"))
+    )
+    labels = _labels(nodes, ends.groupBy("node").agg(F.min("label").alias("label")))
+    pairs = _pivot_pairs(lists, labels, F.xxhash64("node", "post"))
+    links = materialize(links.union(found_first).union(_confirmed(pairs, live, matches, percent)), "links")
+    tied = components(links)
+    labels = _labels(nodes, tied.withColumnRenamed("component", "label"))
+    pairs = _rare_pairs(lists, live, labels, percent)
+    # Components found so far stand for their links.
+    last = _confirmed(pairs, live, matches, percent).union(tied.select("node", "component"))
+    tied = components(materialize(last, "links"))
     of_class = classes.join(tied, "node", "left").select(
         "low", "high", "n_shingles", F.coalesce("component", "node").alias("component_id")
     )
