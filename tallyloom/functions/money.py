@@ -3,9 +3,10 @@
 Adding doubles gives a result that varies with the partitioning, so equal
 customers could rank differently from run to run. Amounts are therefore added
 as whole ten-thousandths in a decimal, which is exact, merges across any
-number of aggregation levels, and is divided back once at the end. Amounts of
-1e14 and more (and NaN) do not fit; they are added beside it as plain doubles,
-so no value is lost.
+number of aggregation levels, and is divided back once at the end. What is left
+of an amount, digits after the fourth decimal, is added beside it as a double, so
+nothing is lost; for amounts of up to four decimals it is exactly zero. The exact
+part covers amounts below 1e14; larger ones (and NaN) are all added as doubles.
 
 A sum NAME travels as two columns, ``NAME_units`` and ``NAME_rest``.
 """
@@ -28,7 +29,8 @@ def _units(amount: Column) -> Column:
 
 
 def _rest(amount: Column) -> Column:
-    return F.when(~_fits(amount), amount)
+    exact = F.rint(amount * _UNITS_PER_ONE) / _UNITS_PER_ONE
+    return F.when(_fits(amount), amount - exact).otherwise(amount)
 
 
 def _value(units: Column, rest: Column) -> Column:

@@ -10,6 +10,10 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+_DATE_AND_TIME = (
+    r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+    r"([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}([.][0-9]{0,9})?)?)?$"
+)
 _INTEGER_PART = r"^([+-]?[0-9]+)([.][0-9]*)?$"
 
 
@@ -46,13 +50,18 @@ def to_double(name: str) -> Column:
     return F.col(name).try_cast("double")
 
 
+def _dated(name: str) -> Column:
+    """The text if it has the form of a date or time without a zone, else NULL."""
+    return F.when(F.trim(F.col(name)).rlike(_DATE_AND_TIME), F.col(name))
+
+
 def to_timestamp(name: str) -> Column:
-    """Timestamp without time zone: the text carries none."""
-    return blank_to_null(name).try_cast("timestamp_ntz")
+    """Timestamp without time zone; a lone year, or a text with a zone, is malformed."""
+    return _dated(name).try_cast("timestamp_ntz")
 
 
 def to_date(name: str) -> Column:
-    return blank_to_null(name).try_cast("date")
+    return _dated(name).try_cast("date")
 
 
 def day_of(name: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.functions.money import money_avg
 from tallyloom.schemas import GOLD, conform
@@ -40,11 +40,10 @@ def customer_churn_labels(
 def share_of_total(df: DataFrame, key: str, count_name: str = "customer_count") -> DataFrame:
     """Rows per key and their percentage of all rows.
 
-    The unpartitioned window runs over the groups, not over the rows; use it
-    for keys with few values.
+    The total is a subquery of one row, so keys may have any number of values.
     """
-    whole = Window.partitionBy()
-    share = F.col(count_name) * F.lit(100.0) / F.sum(count_name).over(whole)
+    total = df.agg(F.count(F.lit(1))).scalar()
+    share = F.col(count_name) * F.lit(100.0) / total
     return (
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias(count_name))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.functions.text import month_of, months_between
 from tallyloom.operators.kpi import DELIVERED
@@ -14,23 +14,36 @@ def monthly_activity(
 ) -> DataFrame:
     """Distinct (customer, month) pairs with an order of the status.
 
-    Orders are reduced to distinct (customer_id, month) before the join, so a
-    customer_id shared by a large part of all orders meets the join with one
-    row per month.
+    Orders are reduced to a set of months per customer_id before the join, and
+    to one per customer after it. The sets are combined before each shuffle and
+    hold a month once, so they stay small for a customer of any size. Both the
+    join and what follows per customer find the rows where they already are.
     """
     months = (
         orders.where(F.col("order_status") == status)
-        .select("customer_id", month_of("dt").alias("activity_month"))
-        .distinct()
+        .select("customer_id", month_of("dt").alias("month"))
+        .groupBy("customer_id")
+        .agg(_month_set("month"))
     )
     people = customers.select("customer_id", "customer_unique_id")
     return (
         months.join(people, "customer_id")
-        .select("customer_unique_id", "activity_month")
-        .distinct()
+        .select("customer_unique_id", F.explode_outer("months").alias("month"))
+        .groupBy("customer_unique_id")
+        .agg(_month_set("month"))
+        .select("customer_unique_id", F.explode_outer("months").alias("activity_month"))
     )
 
 
+def _month_set(name: str) -> Column:
+    """Distinct months; a set leaves NULL out, so an order without a month is one of its own."""
+    whole = F.collect_set(name)
+    missing = F.array(F.lit(None).cast("string"))
+    return F.when(F.count_if(F.col(name).isNull()) > 0, F.concat(whole, missing)).otherwise(
+        whole
+    ).alias("months")
+
+
 def customer_cohorts(activity: DataFrame) -> DataFrame:
     """First active month of each customer."""
     return activity.groupBy("customer_unique_id").agg(

@@ -6,10 +6,11 @@ bracket around each of them, and then every row finds its tile by comparing
 itself with the boundaries: a projection, with no shuffle of the table.
 
 Locating the boundaries reads only the key and tie columns. Each round samples
-the rows still inside a bracket to propose a tighter one and counts the rows
-below and inside it. Counts decide, the sample only proposes, so the outcome
-is exact. Once a bracket holds at most ``leaf_rows`` rows these are numbered.
-What reaches the driver is bounded by ``sample_rows`` and k.
+the rows still inside the brackets, of all brackets in one pass, to propose
+tighter ones and counts the rows below and inside them, in another. Counts
+decide, the sample only proposes, so the outcome is exact. Once a bracket holds at
+most ``leaf_rows`` rows these are numbered. What reaches the driver is bounded by
+``sample_rows``, k and the number of rankings.
 """
 
 from __future__ import annotations
@@ -20,8 +21,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_MAX_ROUNDS = 40
-
 
 @dataclass(frozen=True)
 class Ranking:
@@ -40,6 +39,21 @@ class Ranking:
         first = key.desc_nulls_last() if self.descending else key.asc_nulls_first()
         return [first, F.col(self.tie).asc_nulls_first()]
 
+    def sorted(self, rows: list[tuple]) -> list[tuple]:
+        """Rows on the driver in the same order: NULL lowest, NaN highest."""
+
+        def place(value) -> tuple:
+            if value is None:
+                return (0, 0)
+            return (2, 0) if value != value else (1, value)
+
+        by_tie = sorted(rows, key=lambda row: place(row[1]))
+        return sorted(by_tie, key=lambda row: place(row[0]), reverse=self.descending)
+
+    def equals(self, row: tuple) -> Column:
+        key, tie = row
+        return F.col(self.key).eqNullSafe(F.lit(key)) & F.col(self.tie).eqNullSafe(F.lit(tie))
+
     def precedes(self, row: tuple) -> Column:
         """True for the rows strictly before the given (key, tie)."""
         key, tie = row
@@ -93,7 +107,8 @@ def global_ntile(
     """Add one tile column (1 to k) per entry of ``rankings``.
 
     ``df`` is read several times and should be stored. All rankings share the
-    scans that count.
+    scans that sample and count. Raises ValueError if a boundary falls on rows
+    that the tie column does not tell apart, at any size of the table.
     """
     rows = df.count()
     targets = [
@@ -102,6 +117,7 @@ def global_ntile(
         for rank in tile_starts(rows, k)
     ]
     boundaries = _locate(df, targets, leaf_rows, sample_rows)
+    _check_ties(df, boundaries)
     tiles = {}
     for name, ranking in rankings.items():
         reached = [
@@ -113,15 +129,22 @@ def global_ntile(
     return df.withColumns(tiles)
 
 
+def _check_ties(df: DataFrame, boundaries: list[tuple[_Target, tuple]]) -> None:
+    """Every boundary must be one row: equal rows could not be shared out between two tiles."""
+    if not boundaries:
+        return
+    counts = df.agg(*[F.count_if(target.ranking.equals(row)) for target, row in boundaries]).first()
+    if max(counts) > 1:
+        raise ValueError("the tie column does not tell rows with equal keys apart")
+
+
 def _locate(df, targets, leaf_rows, sample_rows) -> list[tuple[_Target, tuple]]:
-    for _ in range(_MAX_ROUNDS):
-        wide = [t for t in targets if t.size > leaf_rows]
-        if not wide:
-            break
+    while wide := [t for t in targets if t.size > leaf_rows]:
         narrowed = _narrow(df, wide, sample_rows)
+        for before, after in zip(wide, narrowed):
+            if before == after and _single_valued(df, after):
+                raise ValueError("the tie column does not tell rows with equal keys apart")
         targets = [t for t in targets if t.size <= leaf_rows] + narrowed
-    else:
-        raise ValueError("the tie column does not tell rows with equal keys apart")
     by_ranking: dict[Ranking, list[_Target]] = {}
     for target in targets:
         by_ranking.setdefault(target.ranking, []).append(target)
@@ -130,23 +153,34 @@ def _locate(df, targets, leaf_rows, sample_rows) -> list[tuple[_Target, tuple]]:
     ]
 
 
+def _single_valued(df: DataFrame, target: _Target) -> bool:
+    """Whether all rows of a bracket are equal, so that no sample can narrow it."""
+    ranking = target.ranking
+    inside = df.where(target.inside()).select(ranking.key, ranking.tie)
+    return len(inside.distinct().take(2)) == 1
+
+
 def _narrow(df: DataFrame, targets: list[_Target], sample_rows: int) -> list[_Target]:
-    """One sampling pass per distinct bracket and one counting pass over all."""
-    proposals = []
-    samples: dict[tuple, list[tuple]] = {}
-    for target in targets:
-        bracket = (target.ranking, target.low, target.high)
-        if bracket not in samples:
-            fraction = min(1.0, sample_rows / target.size)
-            ranking = target.ranking
-            chosen = (
-                df.where(target.inside())
-                .select(ranking.key, ranking.tie)
-                .sample(fraction)
-                .orderBy(*ranking.order())
-            )
-            samples[bracket] = [tuple(row) for row in chosen.collect()]
-        proposals.append(_propose(target, samples[bracket]))
+    """One sampling pass and one counting pass over all brackets."""
+    brackets = list(dict.fromkeys((t.ranking, t.low, t.high, t.size) for t in targets))
+    first = {bracket: next(t for t in targets if _bracket(t) == bracket) for bracket in brackets}
+    drawn = F.rand()
+    tags = F.array_compact(
+        F.array(
+            *[
+                F.when(target.inside() & (drawn < sample_rows / target.size), F.lit(i))
+                for i, target in enumerate(first.values())
+            ]
+        )
+    )
+    columns = sorted({name for t in targets for name in (t.ranking.key, t.ranking.tie)})
+    chosen = df.select(*columns, F.explode(tags).alias("_bracket")).collect()
+    samples: dict[tuple, list[tuple]] = {bracket: [] for bracket in brackets}
+    for row in chosen:
+        bracket = brackets[row["_bracket"]]
+        samples[bracket].append((row[bracket[0].key], row[bracket[0].tie]))
+    samples = {bracket: bracket[0].sorted(rows) for bracket, rows in samples.items()}
+    proposals = [_propose(target, samples[_bracket(target)]) for target in targets]
     counts = df.agg(
         *[
             F.count_if(F.lit(False) if row is None else target.ranking.precedes(row))
@@ -160,6 +194,10 @@ def _narrow(df: DataFrame, targets: list[_Target], sample_rows: int) -> list[_Ta
     ]
 
 
+def _bracket(target: _Target) -> tuple:
+    return (target.ranking, target.low, target.high, target.size)
+
+
 def _propose(target: _Target, sample: list[tuple]) -> tuple[tuple | None, tuple | None]:
     """Sample rows about four standard errors on either side of the target.
 

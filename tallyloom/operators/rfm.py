@@ -6,6 +6,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.functions.text import to_date
 from tallyloom.functions.money import money_avg, money_merge, money_value
 from tallyloom.operators.ranking import Ranking, global_ntile
 from tallyloom.schemas import GOLD, conform
@@ -30,7 +31,7 @@ OTHER_SEGMENT = "Lost"
 
 
 def _day() -> Column:
-    return F.col("dt").try_cast("date")
+    return to_date("dt")
 
 
 def last_order_day(orders: DataFrame) -> Column:

@@ -14,10 +14,9 @@ def _time(expression: str) -> str:
 
 
 _RAW = {
-    "kept_orders": """
-        SELECT * FROM orders WHERE NOT (o_orderstatus = 'O' AND o_totalprice < 5000)""",
     "orders_raw": f"""
-        SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+        SELECT CASE WHEN o_orderstatus = 'O' AND o_totalprice < 5000 THEN '#lost-' ELSE '' END
+                   || CAST(o_orderkey AS VARCHAR) AS order_id,
                CAST(o_orderkey AS VARCHAR) AS customer_id,
                CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN ' DELIVERED '
                     WHEN o_orderstatus = 'F' THEN 'delivered'
@@ -33,27 +32,28 @@ _RAW = {
                     ELSE {_time("o_orderdate + INTERVAL 7 DAY")}
                END AS order_delivered_customer_date,
                {_time("o_orderdate + INTERVAL 14 DAY")} AS order_estimated_delivery_date
-        FROM kept_orders
+        FROM orders
         UNION ALL
         SELECT CAST(o_orderkey AS VARCHAR), CAST(o_orderkey AS VARCHAR), 'created',
                {_time("o_orderdate + INTERVAL 1 DAY")}, '', '', '', ''
-        FROM kept_orders WHERE o_orderstatus = 'P'
+        FROM orders WHERE o_orderstatus = 'P'
         UNION ALL
         SELECT '', CAST(o_orderkey AS VARCHAR), 'created', {_time("o_orderdate")}, '', '', '', ''
-        FROM kept_orders WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'
+        FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'
         UNION ALL
         SELECT CAST(o_orderkey AS VARCHAR) || '-draft', CAST(o_orderkey AS VARCHAR), 'created',
                '', '', '', '', ''
-        FROM kept_orders WHERE o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED'""",
+        FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED'""",
     "people": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, n_name, r_name
         FROM orders
         JOIN customer ON o_custkey = c_custkey
         JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey
-        WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')""",
+        JOIN region ON n_regionkey = r_regionkey""",
     "people_rows": """
-        SELECT *, CAST(o_orderkey AS VARCHAR) AS cid, CAST(o_custkey AS VARCHAR) AS uid
+        SELECT *, CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'lost-'
+                       ELSE '' END || CAST(o_orderkey AS VARCHAR) AS cid,
+               CAST(o_custkey AS VARCHAR) AS uid
         FROM people
         UNION ALL
         SELECT *, CAST(o_orderkey AS VARCHAR), 'x' || CAST(o_custkey AS VARCHAR)
@@ -85,7 +85,8 @@ _RAW = {
                CAST(l_quantity AS VARCHAR) AS freight_value
         FROM lineitem""",
     "products_raw": """
-        SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+        SELECT CASE WHEN p_type = 'ECONOMY' AND p_size > 45 THEN 'lost-' ELSE '' END
+                   || CAST(p_partkey AS VARCHAR) AS product_id,
                CASE WHEN again THEN 'zzz'
                     WHEN p_type = 'PROMO' AND p_size < 3 THEN ''
                     WHEN p_type = 'SMALL' THEN upper(p_brand)
@@ -101,8 +102,7 @@ _RAW = {
                CAST(p_size + 2 AS VARCHAR) AS product_width_cm
         FROM (SELECT *, FALSE AS again FROM part
               UNION ALL
-              SELECT *, TRUE FROM part WHERE p_type = 'STANDARD' AND p_size <= 10) AS parts
-        WHERE NOT (p_type = 'ECONOMY' AND p_size > 45)""",
+              SELECT *, TRUE FROM part WHERE p_type = 'STANDARD' AND p_size <= 10) AS parts""",
     "payments_raw": """
         SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
                CAST(l_linenumber AS VARCHAR) AS payment_sequential,
@@ -113,9 +113,10 @@ _RAW = {
                END AS payment_value
         FROM lineitem""",
     "category_translation_raw": """
-        SELECT DISTINCT p_brand AS product_category_name,
+        SELECT DISTINCT CASE WHEN length(p_brand) = 8 THEN '' ELSE 'lost-' END || p_brand
+                   AS product_category_name,
                ' LABEL ' || substr(p_brand, 7, 2) AS product_category_name_english
-        FROM part WHERE length(p_brand) = 8
+        FROM part
         UNION ALL
         SELECT DISTINCT p_brand, 'Second Label' FROM part WHERE p_brand = 'Brand#25'""",
 }
@@ -224,7 +225,6 @@ _GOLD = {
                    AS retention_rate
         FROM g_cohorts JOIN g_activity USING (customer_unique_id)
         JOIN g_cohort_sizes USING (cohort_month)
-        WHERE activity_month >= cohort_month
         GROUP BY cohort_month, activity_month, cohort_size""",
     "g_rfm_base": """
         SELECT c.customer_unique_id,
@@ -375,7 +375,7 @@ _GOLD_TABLES = {
 }
 
 
-def statements(parameters: dict[str, str]) -> dict[str, str]:
+def statements(parameters: dict) -> dict[str, str]:
     """One statement per registered query; ``parameters`` are the registry's."""
     p = parameters
     bodies = {
@@ -458,7 +458,47 @@ def statements(parameters: dict[str, str]) -> dict[str, str]:
         "date_range": """SELECT MIN(dt) AS min_date, MAX(dt) AS max_date,
             COUNT(DISTINCT dt) AS distinct_days FROM s_orders""",
     }
+    bodies["landing_manifest_files"] = " UNION ALL ".join(
+        f"SELECT '{entity}' AS target, '{ending}' AS entry, COUNT(*) AS record_count,"
+        f" TRUE AS each_file_once FROM {entity}_raw"
+        for entity, ending in p["endings"].items()
+    )
+    bodies["rfm_scores_narrowed"] = bodies["rfm_scores"]
+    bodies["money_sums"] = """
+        SELECT l_returnflag, l_linestatus,
+               round(CAST(SUM(amount) AS DOUBLE), 5) AS amount,
+               round(CAST(SUM(amount) AS DOUBLE) / COUNT(*), 5) AS mean
+        FROM (SELECT *, CAST(l_extendedprice * (1 - l_discount) / 7000 AS DECIMAL(38, 10)) AS amount
+              FROM lineitem) AS amounts
+        GROUP BY l_returnflag, l_linestatus"""
+    bodies["full_run_tables"] = " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{name}' AS table_name"
+        for layer, names in (
+            ("bronze", [name for name in _RAW if name.endswith("_raw")]),
+            ("silver", _SILVER_TABLES),
+            ("gold", [*_GOLD_TABLES, "daily_kpi_by_category"]),
+        )
+        for name in names
+    )
+    bodies["full_run_statistics"] = _counts(
+        [(n, f"s_{n}") for n in _SILVER_TABLES]
+        + [(n, t) for n, t in _GOLD_TABLES.items()]
+        + [("daily_kpi_by_category", "g_daily_kpi_by_category")],
+        ["table_name"],
+    )
+    bodies["rerun_orders"] = f"""SELECT dt, COUNT(*) AS order_count FROM (
+            SELECT substr(order_purchase_timestamp, 1, 10) AS dt, order_id FROM orders_raw
+            WHERE order_id NOT IN ('', '{p['lost_order']}')
+              AND order_purchase_timestamp <> ''
+              AND NOT starts_with(order_purchase_timestamp, '{p['day']}')
+            QUALIFY row_number() OVER (PARTITION BY order_id
+                                       ORDER BY order_purchase_timestamp) = 1) AS kept
+        GROUP BY dt"""
     for name, same_as in {
+        **{f"full_run_silver_{name}": f"silver_{name}" for name in _SILVER_TABLES},
+        "full_run_daily_kpi": "daily_kpi",
+        "full_run_cohort_retention": "cohort_retention",
+        "full_run_customer_churn_labels": "customer_churn_labels",
         "full_run_report": "quality_report",
         "full_run_row_counts": "completeness",
         "full_run_rfm_features": "rfm_features",

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.operators import churn, cohort, kpi, quality, rfm, silver, summaries
 from tallyloom.schemas import RAW_COLUMNS, RAW_TABLES
-from tallyloom.sinks.scratch import materialize, temporary_table, work_database
+from tallyloom.sinks.scratch import temporary_table, work_database
 from tallyloom.sinks.tables import (
     analyze,
     create_database,
@@ -18,7 +20,7 @@ from tallyloom.sinks.tables import (
     write_table,
 )
 from tallyloom.sources.csv import empty_for_null
-from tallyloom.sources.landing import land_raw, landing_manifest
+from tallyloom.sources.landing import land_raw, landing_manifest, source_paths
 
 _COMMENTS = {
     "bronze": "Raw text as delivered",
@@ -59,6 +61,7 @@ class Run:
     """What a run leaves behind, as DataFrames over the written tables."""
 
     manifest: DataFrame
+    databases: dict[str, str] = field(default_factory=dict)
     bronze: dict[str, DataFrame] = field(default_factory=dict)
     silver: dict[str, DataFrame] = field(default_factory=dict)
     gold: dict[str, DataFrame] = field(default_factory=dict)
@@ -67,8 +70,13 @@ class Run:
 
 
 def land(warehouse: Warehouse, source: str) -> DataFrame:
-    land_raw(warehouse.spark, source, warehouse.location("bronze"))
-    return landing_manifest(warehouse.spark, source)
+    """Land all files; the manifest is stored, so showing it reads no source again."""
+    paths = source_paths(warehouse.spark, source)
+    land_raw(warehouse.spark, paths, warehouse.location("bronze"))
+    manifest = landing_manifest(warehouse.spark, paths)
+    path = f"{warehouse.location('work')}/manifest"
+    manifest.coalesce(1).write.mode("overwrite").parquet(path)
+    return warehouse.spark.read.schema(manifest.schema).parquet(path)
 
 
 def build_bronze(warehouse: Warehouse) -> dict[str, DataFrame]:
@@ -83,23 +91,39 @@ def build_bronze(warehouse: Warehouse) -> dict[str, DataFrame]:
     return tables
 
 
+def together(action: Callable[[str], DataFrame], names: list[str]) -> dict[str, DataFrame]:
+    """Run independent writes at the same time; jobs of one session share its executors."""
+    with ThreadPoolExecutor(len(names)) as pool:
+        return dict(zip(names, pool.map(action, names)))
+
+
+def build_orders(warehouse: Warehouse, raw: DataFrame) -> DataFrame:
+    """The one cleaned table that is partitioned, with statistics of its columns."""
+    warehouse.create("silver")
+    orders = silver.silver_orders(raw)
+    table = warehouse.write("silver", "orders", orders, partition_by=("dt",))
+    analyze(warehouse.spark, warehouse.table("silver", "orders"), columns=True)
+    return table
+
+
 def build_silver(warehouse: Warehouse, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     warehouse.create("silver")
     rows = {
         "customers": silver.silver_customers(bronze["customers"]),
-        "orders": silver.silver_orders(bronze["orders"]),
         "order_items": silver.silver_order_items(bronze["order_items"]),
         "products": silver.silver_products(
             bronze["products"], bronze["category_translation"]
         ),
         "payments": silver.silver_payments(bronze["payments"]),
     }
-    tables = {}
-    for name, df in rows.items():
-        layout = {"partition_by": ("dt",)} if name == "orders" else {}
-        tables[name] = warehouse.write("silver", name, df, **layout)
-        analyze(warehouse.spark, warehouse.table("silver", name), columns=name == "orders")
-    return tables
+    def store(name: str) -> DataFrame:
+        table = warehouse.write("silver", name, rows[name])
+        analyze(warehouse.spark, warehouse.table("silver", name))
+        return table
+
+    # Orders go alone, since their write changes settings; the others share the cluster.
+    orders = build_orders(warehouse, bronze["orders"])
+    return {"orders": orders, **together(store, list(rows))}
 
 
 def build_gold(warehouse: Warehouse, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -110,29 +134,30 @@ def build_gold(warehouse: Warehouse, tables: dict[str, DataFrame]) -> dict[str,
     with work_database(spark, warehouse.database("work")) as work:
         totals = temporary_table(kpi.order_totals(orders, items), work, "order_totals")
         base = temporary_table(rfm.rfm_base(totals, customers, orders), work, "rfm_base")
-        gold = {
-            "daily_kpi": warehouse.write(
-                "gold", "daily_kpi", kpi.daily_kpi(totals), order_by=("dt",)
-            ),
-            "daily_kpi_by_category": warehouse.write(
-                "gold",
-                "daily_kpi_by_category",
+        marts = {
+            "daily_kpi": (kpi.daily_kpi(totals), ("dt",)),
+            "daily_kpi_by_category": (
                 kpi.daily_kpi_by_category(orders, items, tables["products"]),
-                order_by=("dt", F.desc("gmv"), "category"),
+                ("dt", F.desc("gmv"), "category"),
             ),
-            "cohort_retention": warehouse.write(
-                "gold",
-                "cohort_retention",
+            "cohort_retention": (
                 cohort.cohort_retention(cohort.monthly_activity(orders, customers)),
-                order_by=("cohort_month", "activity_month"),
+                ("cohort_month", "activity_month"),
             ),
-            "rfm_features": warehouse.write("gold", "rfm_features", rfm.rfm_features(base)),
+            "rfm_features": (rfm.rfm_features(base), ()),
         }
+
+        def store(name: str) -> DataFrame:
+            df, order = marts[name]
+            table = warehouse.write("gold", name, df, order_by=order)
+            analyze(spark, warehouse.table("gold", name))
+            return table
+
+        gold = together(store, list(marts))
     gold["customer_churn_labels"] = warehouse.write(
         "gold", "customer_churn_labels", churn.customer_churn_labels(gold["rfm_features"])
     )
-    for name in gold:
-        analyze(spark, warehouse.table("gold", name))
+    analyze(spark, warehouse.table("gold", "customer_churn_labels"))
     return gold
 
 
@@ -153,6 +178,13 @@ def summarize(run: Run) -> dict[str, DataFrame]:
     }
 
 
+def store_audit(warehouse: Warehouse, audit: DataFrame) -> DataFrame:
+    """The audit's rows below the warehouse, in place of those of the run before."""
+    path = f"{warehouse.location('work')}/audit"
+    audit.write.mode("overwrite").parquet(path)
+    return warehouse.spark.read.schema(audit.schema).parquet(path)
+
+
 def run_pipeline(
     spark: SparkSession,
     source: str,
@@ -168,14 +200,13 @@ def run_pipeline(
     """
     warehouse = Warehouse(spark, root, prefix)
     with quick_listing(spark):
-        run = Run(land(warehouse, source))
+        layers = {layer: warehouse.database(layer) for layer in _COMMENTS}
+        run = Run(land(warehouse, source), layers)
         run.bronze = build_bronze(warehouse)
         run.silver = build_silver(warehouse, run.bronze)
         run.gold = build_gold(warehouse, run.silver)
         run.summaries = summarize(run)
-        audited = materialize(
-            quality.audit(run.bronze, run.silver, run.gold, as_of), "audit"
-        )
+        audited = store_audit(warehouse, quality.audit(run.bronze, run.silver, run.gold, as_of))
     run.report = quality.audit_report(audited)
     run.summaries["completeness"] = quality.audit_row_counts(audited)
     if fail_on:

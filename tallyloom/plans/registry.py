@@ -4,20 +4,29 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyloom.functions.money import money_avg, money_sum
 from tallyloom.operators import churn, cohort, integrity, kpi, quality, rfm, silver, summaries
 from tallyloom.plans import oracle
-from tallyloom.plans.pipeline import Run, run_pipeline
+from tallyloom.plans.pipeline import (
+    Run,
+    Warehouse,
+    build_bronze,
+    build_orders,
+    land,
+    run_pipeline,
+)
 from tallyloom.schemas import RAW_COLUMNS, RAW_FILE_ENDINGS, RAW_TABLES, SILVER
 from tallyloom.sinks.scratch import materialize, new_scratch_path
-from tallyloom.sinks.tables import read_partitions, write_partitions
+from tallyloom.session import scoped
+from tallyloom.sinks.tables import read_partitions, row_count_statistic, table_list, write_partitions
 from tallyloom.sources import landing
 from tallyloom.sources.csv import read_raw, write_raw
-from tallyloom.sources.star import raw_table, raw_tables
+from tallyloom.sources.star import raw_table, raw_tables, read_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,11 +36,12 @@ PARAMETERS = {
     "last_day": "1998-01-31",
     "cohort": "1995-01",
     "as_of": "2001-07-01 00:00:00",
+    "lost_order": "7",
 }
 
 
 class Store:
-    """Tables that several queries read, built on first use and then kept.
+    """Tables that several queries read, built on first use and kept until ``close``.
 
     The warehouse keeps its cleaned tables and two intermediate results on
     disk; marts and checks read those instead of cleaning the raw data again.
@@ -52,6 +62,15 @@ class Store:
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         return self._keep(name, lambda: materialize(build(), name))
 
+    def close(self) -> None:
+        """Forget what was built over this folder and drop the databases of its runs."""
+        for key in [k for k in self._kept if k[1] == self.sf_dir]:
+            kept = self._kept.pop(key)
+            if isinstance(kept, Run):
+                for layer in ("bronze", "silver", "gold"):
+                    database = kept.databases[layer]
+                    self.spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+
     def silver(self, name: str) -> DataFrame:
         return self._table(f"silver_{name}", lambda: clean(self.spark, self.sf_dir, name))
 
@@ -124,6 +143,36 @@ class Store:
 
         return self._keep("orders_by_day", write)
 
+    def smaller_delivery(self) -> str:
+        """The same delivery, but without the orders of one day and one further order."""
+
+        def export() -> str:
+            path = new_scratch_path(self.spark, "delivery")
+            for entity, df in raw_tables(self.spark, self.sf_dir).items():
+                if entity == "orders":
+                    day = F.col("order_purchase_timestamp").startswith(PARAMETERS["day"])
+                    df = df.where(~day & (F.col("order_id") != PARAMETERS["lost_order"]))
+                write_raw(df, f"{path}/{RAW_FILE_ENDINGS[entity]}")
+            return path
+
+        return self._keep("smaller_delivery", export)
+
+    def rebuilt_orders(self) -> DataFrame:
+        """Orders after a run and a second one over the smaller delivery, in a session
+        that replaces single partitions by default."""
+
+        def rebuild() -> DataFrame:
+            name = f"rerun_{uuid4().hex[:8]}_"
+            warehouse = Warehouse(self.spark, new_scratch_path(self.spark, name), name)
+            with scoped(self.spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+                for source in (self.exported(), self.smaller_delivery()):
+                    land(warehouse, source)
+                    orders = build_bronze(warehouse)["orders"]
+                    orders = build_orders(warehouse, orders)
+            return orders
+
+        return self._keep("rebuilt_orders", rebuild)
+
     def full_run(self) -> Run:
         """A run from the delivered CSV files to the checks, in its own databases."""
 
@@ -177,11 +226,15 @@ def _one_day(s: Store) -> DataFrame:
 
 def _backfill(s: Store) -> DataFrame:
     """Rewrite the days of one month in place; all other days stay as they are."""
-    path = new_scratch_path(s.spark, "orders_backfill")
-    orders = s.silver("orders")
+
+    def write() -> str:
+        path = new_scratch_path(s.spark, "orders_backfill")
+        write_partitions(s.silver("orders"), path, ("dt",))
+        return path
+
+    path = s._keep("orders_backfill", write)
     month = F.col("dt").between(PARAMETERS["first_day"], PARAMETERS["last_day"])
-    write_partitions(orders, path, ("dt",))
-    corrected = orders.where(month).withColumn("order_status", F.lit("backfilled"))
+    corrected = s.silver("orders").where(month).withColumn("order_status", F.lit("backfilled"))
     write_partitions(corrected, path, ("dt",))
     return read_partitions(s.spark, path, SILVER["orders"]).select(
         "order_id", "order_status", "dt"
@@ -194,6 +247,50 @@ def _kpi_by_person(s: Store) -> DataFrame:
     return daily.select("dt", "order_count", "unique_customers")
 
 
+def _manifest_by_entry(s: Store) -> DataFrame:
+    """Files of each delivered folder as they are named, with their counts added up.
+
+    How many part files a folder has depends on the cores; its rows do not.
+    """
+    files = landing.landing_manifest(s.spark, s.exported()).withColumn(
+        "entry", F.element_at(F.split("file", "/"), -2)
+    )
+    return files.groupBy("target", "entry").agg(
+        F.sum("record_count").alias("record_count"),
+        (F.count("file") == F.count_distinct("file")).alias("each_file_once"),
+    )
+
+
+def _money_sums(s: Store) -> DataFrame:
+    """Sums of amounts with more than four decimals, rounded for comparison alone."""
+    amount = F.col("l_extendedprice") * (1 - F.col("l_discount")) / 7000
+    summed = read_star(s.spark, s.sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus")
+    return summed.agg(
+        F.round(money_sum(amount), 5).alias("amount"),
+        F.round(money_avg(amount), 5).alias("mean"),
+    )
+
+
+def _full_run_tables(s: Store) -> DataFrame:
+    databases = s.full_run().databases
+    return reduce(
+        DataFrame.unionByName,
+        [table_list(s.spark, database, layer) for layer, database in databases.items()],
+    )
+
+
+def _full_run_statistics(s: Store) -> DataFrame:
+    run = s.full_run()
+    return reduce(
+        DataFrame.unionByName,
+        [
+            row_count_statistic(s.spark, f"{run.databases[layer]}.{name}", name)
+            for layer, tables in (("silver", run.silver), ("gold", run.gold))
+            for name in tables
+        ],
+    )
+
+
 def _report(s: Store) -> DataFrame:
     return quality.quality_report(
         raw_tables(s.spark, s.sf_dir),
@@ -216,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "bronze_row_counts": lambda spark, sf_dir: summaries.row_counts(
         raw_tables(spark, sf_dir)
     ),
+    "landing_manifest_files": _query(_manifest_by_entry),
     "landing_manifest": _query(
         lambda s: landing.landing_manifest(s.spark, s.exported())
         .groupBy("target")
@@ -252,6 +350,12 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "rfm_features": _query(lambda s: rfm.rfm_features(s.rfm_base())),
+    "rfm_scores_narrowed": _query(
+        lambda s: rfm.rfm_scores(s.rfm_base(), leaf_rows=20, sample_rows=400).drop(
+            "first_order_date", "last_order_date", "avg_order_value"
+        )
+    ),
+    "money_sums": _query(_money_sums),
     "segment_distribution": _query(lambda s: rfm.segment_distribution(s.features())),
     "segment_spend": _query(lambda s: rfm.segment_spend(s.features())),
     "customer_churn_labels": _query(Store.labels),
@@ -279,6 +383,19 @@ QUERIES: dict[str, Query] = {
     "full_run_report": _query(lambda s: s.full_run().report),
     "full_run_row_counts": _query(lambda s: s.full_run().summaries["completeness"]),
     "full_run_rfm_features": _query(lambda s: s.full_run().gold["rfm_features"]),
+    **{
+        f"full_run_silver_{name}": _query(lambda s, name=name: s.full_run().silver[name])
+        for name in SILVER
+    },
+    **{
+        f"full_run_{name}": _query(lambda s, name=name: s.full_run().gold[name])
+        for name in ("daily_kpi", "cohort_retention", "customer_churn_labels")
+    },
+    "full_run_tables": _query(_full_run_tables),
+    "full_run_statistics": _query(_full_run_statistics),
+    "rerun_orders": _query(
+        lambda s: s.rebuilt_orders().groupBy("dt").agg(F.count("*").alias("order_count"))
+    ),
     "full_run_kpi_by_category": _query(
         lambda s: s.full_run().gold["daily_kpi_by_category"]
     ),
@@ -287,4 +404,4 @@ QUERIES: dict[str, Query] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements(PARAMETERS)
+    return oracle.statements({**PARAMETERS, "endings": RAW_FILE_ENDINGS})

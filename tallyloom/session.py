@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Shuffles start with so many partitions and are merged by size; they never
+    # grow in number. At 100 TB take the shuffled bytes divided by 128 MB.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
     # dt is text and stays text when partitions are discovered from paths.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
@@ -36,11 +39,14 @@ def build_session(
 @contextmanager
 def scoped(spark: SparkSession, settings: dict[str, object]) -> Iterator[None]:
     """Runtime settings for the actions inside the block, restored afterwards."""
-    before = {key: spark.conf.get(key) for key in settings}
+    before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, str(value))
     try:
         yield
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contextlib import AbstractContextManager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tallyloom.schemas import raw_schema
@@ -13,10 +13,27 @@ from tallyloom.sources.csv import CSV_FORMAT
 
 _ORC = {"compression": "snappy"}
 
-# A partitioned write opens one file per day, which costs time by the file and
-# not by the byte. The lower minimum lets a small table use all cores; a large
-# one is cut by the advisory size either way.
-_PARTITIONED_WRITE = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+#: Size of the pieces into which a large day is cut, one file each.
+FILE_BYTES = "256MB"
+
+
+def _partitioned_write(file_bytes: str) -> dict[str, str]:
+    """Settings of a write by day.
+
+    It opens one file per day, which costs time by the file and not by the byte.
+    There are more shuffle partitions than days, so a partition holds one or two
+    days and is cut into few large files; the low minimum lets a small table use
+    all cores.
+    """
+    return {
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": file_bytes,
+    }
+
+
+# Only a rebuild under this setting drops the days that are no longer there.
+_WHOLE = {"spark.sql.sources.partitionOverwriteMode": "static"}
 
 
 def quick_listing(spark: SparkSession) -> AbstractContextManager[None]:
@@ -59,22 +76,33 @@ def write_table(
     location: str,
     partition_by: tuple[str, ...] = (),
     order_by: tuple = (),
+    file_bytes: str = FILE_BYTES,
 ) -> DataFrame:
-    """Rebuild an ORC table as a whole and return it."""
+    """Rebuild an ORC table as a whole and return it.
+
+    What the location held is replaced, whatever the session's overwrite mode.
+    The old table is gone before the new one is there: a failed run is repeated.
+    """
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     rows = df.orderBy(*order_by) if order_by else _by_partition(df, partition_by)
     writer = rows.write.format("orc").mode("overwrite").options(**_ORC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with scoped(spark, _PARTITIONED_WRITE if partition_by else {}):
+    layout = _partitioned_write(file_bytes) if partition_by else {}
+    if layout:
+        with scoped(spark, {**_WHOLE, **layout}):
+            writer.option("path", location).saveAsTable(table)
+    else:  # no setting is changed, so such writes may run at the same time
         writer.option("path", location).saveAsTable(table)
     return spark.table(table)
 
 
-def write_partitions(df: DataFrame, location: str, partition_by: tuple[str, ...]) -> None:
+def write_partitions(
+    df: DataFrame, location: str, partition_by: tuple[str, ...], file_bytes: str = FILE_BYTES
+) -> None:
     """Write ORC partitions, replacing those that occur in ``df`` and no others."""
-    with scoped(df.sparkSession, _PARTITIONED_WRITE):
+    with scoped(df.sparkSession, _partitioned_write(file_bytes)):
         (
             _by_partition(df, partition_by)
             .write.format("orc")
@@ -97,5 +125,18 @@ def analyze(spark: SparkSession, table: str, columns: bool = False) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{suffix}")
 
 
+def row_count_statistic(spark: SparkSession, table: str, label: str) -> DataFrame:
+    """(table_name, row_count): the number of rows that the catalog keeps of a table."""
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Statistics'")
+    rows = F.regexp_extract("data_type", "([0-9]+) rows", 1).try_cast("long")
+    return described.select(F.lit(label).alias("table_name"), rows.alias("row_count"))
+
+
+def table_list(spark: SparkSession, database: str, layer: str) -> DataFrame:
+    """(layer, table_name) of a database, from the catalog."""
+    shown = spark.sql(f"SHOW TABLES IN `{database}`").where(~F.col("isTemporary"))
+    return shown.select(F.lit(layer).alias("layer"), F.col("tableName").alias("table_name"))
+
+
 def list_tables(spark: SparkSession, database: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.schemas import RAW_COLUMNS, raw_schema
 
-# The declared CSV format. Columns are matched by position.
-CSV_FORMAT = {"header": "true", "sep": ",", "quote": '"', "escape": "\\"}
+# The declared CSV format. Columns are matched by position; landed
+# files have no header, delivered ones have.
+CSV_FORMAT = {"header": "false", "sep": ",", "quote": '"', "escape": "\\"}
 
 
 def empty_for_null(df: DataFrame) -> DataFrame:
@@ -22,13 +23,13 @@ def read_raw(spark: SparkSession, bronze: str, entity: str, **options: str) -> D
 
 
 def write_raw(df: DataFrame, path: str) -> None:
-    """Export text columns in the same format, blanks and empty fields as they are."""
+    """Export text columns in the same format with a header, blanks and empty fields as they are."""
     exact = {
         "emptyValue": "",
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
     }
-    df.write.options(**CSV_FORMAT, **exact).csv(path)
+    df.write.options(**{**CSV_FORMAT, "header": "true"}, **exact).csv(path)
 
 
 def read_bronze(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:

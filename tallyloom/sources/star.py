@@ -35,12 +35,14 @@ def _copies(**extra: Column) -> Column:
 
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders; those in progress also as a later, a keyless and a dateless row."""
+    """Orders; those in progress also as a later, a keyless and a dateless row.
+
+    Small open orders have another id than their items and payments.
+    """
     status, priority, copy = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("copy")
     done, open_, running = status == "F", status == "O", status == "P"
     orders = (
         read_star(spark, sf_dir, "orders")
-        .where(~(open_ & (F.col("o_totalprice") < 5000)))
         .select(
             "*",
             _copies(
@@ -54,6 +56,7 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(
         F.when(copy == "keyless", "")
         .when(copy == "dateless", F.concat(_text("o_orderkey"), F.lit("-draft")))
+        .when(open_ & (F.col("o_totalprice") < 5000), F.concat(F.lit("#lost-"), _text("o_orderkey")))
         .otherwise(_text("o_orderkey"))
         .alias("order_id"),
         _text("o_orderkey").alias("customer_id"),
@@ -84,7 +87,7 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One customer row per order, urgent running orders excepted."""
+    """One customer row per order; those of urgent running orders have another id."""
     status, priority, copy = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("copy")
     places = (
         read_star(spark, sf_dir, "nation")
@@ -100,7 +103,6 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = (
         read_star(spark, sf_dir, "orders")
-        .where(~((status == "P") & (priority == "1-URGENT")))
         .join(people, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             "*",
@@ -111,7 +113,10 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return rows.select(
-        F.when(copy == "keyless", "").otherwise(_text("o_orderkey")).alias("customer_id"),
+        F.when(copy == "keyless", "")
+        .when((status == "P") & (priority == "1-URGENT"), F.concat(F.lit("lost-"), _text("o_orderkey")))
+        .otherwise(_text("o_orderkey"))
+        .alias("customer_id"),
         F.when(copy == "again", F.concat(F.lit("x"), _text("o_custkey")))
         .otherwise(_text("o_custkey"))
         .alias("customer_unique_id"),
@@ -144,16 +149,17 @@ def order_items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts without the largest economy ones; small standard parts twice."""
+    """Parts, the largest economy ones under another id; small standard parts twice."""
     kind, size, copy = F.col("p_type"), F.col("p_size"), F.col("copy")
     name = F.length("p_name")
     parts = (
         read_star(spark, sf_dir, "part")
-        .where(~((kind == "ECONOMY") & (size > 45)))
         .select("*", _copies(again=(kind == "STANDARD") & (size <= 10)))
     )
     return parts.select(
-        _text("p_partkey").alias("product_id"),
+        F.when((kind == "ECONOMY") & (size > 45), F.concat(F.lit("lost-"), _text("p_partkey")))
+        .otherwise(_text("p_partkey"))
+        .alias("product_id"),
         F.when(copy == "again", "zzz")
         .when((kind == "PROMO") & (size < 3), "")
         .when(kind == "SMALL", F.upper("p_brand"))
@@ -188,16 +194,17 @@ def payments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_translation_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Translations of the brands with two-digit numbers; one of them has two."""
+    """Translations of all brands; one has two, and brands with one-digit numbers a spoilt key."""
     brands = (
         read_star(spark, sf_dir, "part")
-        .where(F.length("p_brand") == 8)
         .select("p_brand")
         .distinct()
         .select("p_brand", _copies(other=F.col("p_brand") == "Brand#25"))
     )
     return brands.select(
-        F.col("p_brand").alias("product_category_name"),
+        F.when(F.length("p_brand") == 8, F.col("p_brand"))
+        .otherwise(F.concat(F.lit("lost-"), F.col("p_brand")))
+        .alias("product_category_name"),
         F.when(F.col("copy") == "other", "Second Label")
         .otherwise(F.concat(F.lit(" LABEL "), F.substring("p_brand", 7, 2)))
         .alias("product_category_name_english"),

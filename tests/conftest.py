@@ -15,6 +15,7 @@ def spark():
         "tests",
         "local[8]",
         spark__sql__shuffle__partitions="4",
+        spark__sql__adaptive__coalescePartitions__initialPartitionNum="4",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",

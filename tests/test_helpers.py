@@ -101,3 +101,27 @@ def test_work_database_is_dropped_with_its_tables(spark):
         table = scratch.temporary_table(spark.range(5), work, "t")
         assert table.count() == 5
     assert not spark.catalog.databaseExists("w1")
+
+
+def test_small_amounts_are_not_rounded_away(spark):
+    small = spark.range(100_000).select(F.lit(0.00004).alias("x"))
+    assert small.select(money_sum(F.col("x"))).first()[0] == pytest.approx(4.0, rel=1e-9)
+    odd = spark.range(1).select(F.lit(1.23456789).alias("x"))
+    assert odd.select(money_sum(F.col("x"))).first()[0] == pytest.approx(1.23456789, rel=1e-15)
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_cents_leave_no_remainder(spark, parts):
+    cents = spark.range(50_000, numPartitions=parts).select(
+        (F.pmod(F.xxhash64("id"), F.lit(1_000_000_000)) / 100).alias("x")
+    )
+    whole = cents.agg(F.sum((F.col("x") * 100).cast("decimal(20,0)")).cast("long")).first()[0]
+    assert cents.select(money_sum(F.col("x"))).first()[0] == whole / 100
+
+
+def test_times_of_another_form_are_malformed(rows):
+    values = ["2017-10-18 10:20:30", "2017-1-2", "2017", "2017-10", "2017-10-18 00:00:00+05:00", "2017-10-18T10:20:30Z",
+              "", None, "2017-13-01", "2017-10-18 10:20:30.5", "10:20:30"]
+    df = rows("i int, x string", list(enumerate(values)))
+    got = [tuple(r) for r in df.orderBy("i").select(text.to_timestamp("x").isNotNull(), text.to_date("x").isNotNull()).collect()]
+    assert got == [(known, known) for known in (True, True, *(False,) * 7, True, False)]

@@ -220,3 +220,35 @@ def test_money_does_not_depend_on_the_partitioning(spark, parts):
     half = df.withColumn("h", F.rand(1) > 0.5).groupBy("k", "h")
     merged = half.agg(*money_parts(F.col("x"), "m")).groupBy("k").agg(*money_merge("m"))
     assert {r.k: r.v for r in merged.select("k", money_value("m").alias("v")).collect()} == direct
+
+
+def test_retention_needs_five_exchanges_at_most(spark, tmp_path):
+    """From stored tables, with every join shuffled."""
+    from tallyloom.operators import cohort
+
+    orders = spark.range(1000).selectExpr(
+        "cast(id as string) as order_id", "cast(id % 300 as string) as customer_id", "'delivered' as order_status",
+        "concat('2018-0', 1 + id % 9, '-01') as dt",
+    )
+    people = spark.range(300).selectExpr(
+        "cast(id as string) as customer_id", "cast(id % 100 as string) as customer_unique_id"
+    )
+    for name, df in (("orders", orders), ("people", people)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        activity = cohort.monthly_activity(
+            spark.read.parquet(f"{tmp_path}/orders"), spark.read.parquet(f"{tmp_path}/people")
+        )
+        plan = cohort.cohort_retention(activity)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert 0 < plan.count("Exchange hashpartitioning") <= 5
+
+
+def test_orders_without_a_month_are_active_in_none(rows):
+    from tallyloom.operators import cohort
+
+    orders = rows("customer_id string, order_status string, dt string", [("a", "delivered", None), ("a", "delivered", "2018-01-02")])
+    people = rows("customer_id string, customer_unique_id string", [("a", "x")])
+    assert sorted(map(tuple, cohort.monthly_activity(orders, people).collect()), key=repr) == [("x", "2018-01"), ("x", None)]

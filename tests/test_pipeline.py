@@ -58,10 +58,7 @@ def test_landing_keeps_every_line_and_counts_them(spark, source, tmp_path):
     landing.land_raw(spark, source, target)
     for entity, lines in LINES.items():
         landed = spark.read.text(f"{target}/{entity}")
-        header = ",".join(RAW_COLUMNS[entity])
-        assert sorted(r.value for r in landed.where(F.col("value") != header).collect()) == sorted(
-            lines
-        )
+        assert sorted(r.value for r in landed.collect()) == sorted(lines)
     manifest = landing.landing_manifest(spark, source).collect()
     assert {(r.file.rsplit("/", 1)[1], r.target, r.record_count) for r in manifest} == {
         (f"shop_{RAW_FILE_ENDINGS[entity]}", entity, len(lines))
@@ -71,7 +68,57 @@ def test_landing_keeps_every_line_and_counts_them(spark, source, tmp_path):
     assert len(listing) >= len(LINES) and all(r.length > 0 for r in listing)
 
 
-def test_landing_splits_large_files_and_repeats_the_header(spark, tmp_path):
+ODD_LINES = [
+    b"o1,1,vou\x01cher,1,10.00", b"#o4,1,c,1,5", b"o5,\x00,c,1,5", b"\x00", b'o6,"a ""b"" \\", x ",1,  ', b"",
+    b"o7,1,c\r", b" o8 ,,,", b"\xff\xfe,1", "\u2028,\u0085é".encode(),
+    ",".join(RAW_COLUMNS["payments"]).encode(),  # a line equal to the header is a line
+]
+
+
+def test_landing_keeps_every_byte_of_a_line(spark, tmp_path):
+    source = tmp_path / "source"
+    source.mkdir()
+    _deliver(source)
+    header = ",".join(RAW_COLUMNS["payments"]).encode()
+    name = f"shop_{RAW_FILE_ENDINGS['payments']}"
+    (source / name).write_bytes(b"\n".join([header, *ODD_LINES]) + b"\n")
+    landing.land_raw(spark, str(source), str(tmp_path / "bronze"))
+    landed = b"".join(f.read_bytes() for f in (tmp_path / "bronze" / "payments").glob("part-*"))
+    assert sorted(landed.split(b"\n")[:-1]) == sorted(ODD_LINES)
+    counts = {r.target: r.record_count for r in landing.landing_manifest(spark, str(source)).collect()}
+    assert counts["payments"] == len(ODD_LINES)
+    keys = [r.order_id for r in read_raw(spark, str(tmp_path / "bronze"), "payments").collect()]
+    assert {"o1", "#o4", "o6", "o7", " o8 "} <= set(keys)
+
+
+def test_landing_drops_the_header_of_each_file_of_a_folder(spark, tmp_path):
+    source = tmp_path / "source"
+    source.mkdir()
+    _deliver(source, {k: v for k, v in LINES.items() if k != "payments"})
+    folder = source / f"x{RAW_FILE_ENDINGS['payments']}"
+    folder.mkdir()
+    for i in range(7):
+        (folder / f"{i}.csv").write_text(f"header {i}\n" + "".join(f"o{i},{j}\n" for j in range(i)))
+    landing.land_raw(spark, str(source), str(tmp_path / "bronze"))
+    landed = [r.value for r in spark.read.text(str(tmp_path / "bronze" / "payments")).collect()]
+    assert sorted(landed) == sorted(f"o{i},{j}" for i in range(7) for j in range(i))
+
+
+def test_ambiguous_and_empty_files_are_refused_before_anything_is_written(spark, tmp_path):
+    source, bronze = tmp_path / "source", tmp_path / "bronze"
+    source.mkdir()
+    _deliver(source)
+    _deliver(source, {"payments": LINES["payments"]}, prefix="old_shop_")
+    with pytest.raises(landing.AmbiguousSource, match="old_shop_.*, shop_"):
+        landing.land_raw(spark, str(source), str(bronze))
+    landing.source_paths(spark, str(source), prefix="shop_")
+    (source / f"shop_{RAW_FILE_ENDINGS['orders']}").write_text("")
+    with pytest.raises(landing.EmptySource, match=f"shop_{RAW_FILE_ENDINGS['orders']}"):
+        landing.land_raw(spark, str(source), str(bronze), prefix="shop_")
+    assert not bronze.exists()
+
+
+def test_landing_splits_large_files(spark, tmp_path):
     lines = {**LINES, "payments": [f'o{i},1,"a ""b"" \\", x ",1,  ' for i in range(5_000)]}
     source = tmp_path / "source"
     source.mkdir()
@@ -81,12 +128,10 @@ def test_landing_splits_large_files_and_repeats_the_header(spark, tmp_path):
         landing.land_raw(spark, str(source), str(tmp_path / "bronze"))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    files = list((tmp_path / "bronze" / "payments").glob("*.csv"))
-    header = ",".join(RAW_COLUMNS["payments"])
+    files = list((tmp_path / "bronze" / "payments").glob("part-*"))
     assert len(files) > 1
     texts = [f.read_text().splitlines() for f in files]
-    assert all(t[0] == header for t in texts)
-    assert sorted(line for t in texts for line in t[1:]) == sorted(lines["payments"])
+    assert sorted(line for t in texts for line in t) == sorted(lines["payments"])
     assert read_raw(spark, str(tmp_path / "bronze"), "payments").count() == 5_000
 
 
@@ -105,7 +150,7 @@ def test_csv_scan_reads_text_by_position(spark, tmp_path):
     folder = tmp_path / "customers"
     folder.mkdir()
     (folder / "a.csv").write_text(
-        "h1,h2,h3,h4,h5\n" '"x,1",\\"q,01151, city ,\n' "\n" "short,row\n"
+        '"x,1",\\"q,01151, city ,\n' "\n" "short,row\n"
     )
     got = sorted(map(tuple, read_raw(spark, str(tmp_path), "customers").collect()))
     assert got == [("short", "row", "", "", ""), ("x,1", '\\"q', "01151", " city ", "")]
@@ -223,10 +268,35 @@ def test_a_day_with_a_third_of_the_rows_is_written_by_several_tasks(spark, tmp_p
         "sha2(cast(id as string), 256) as order_id",
         "if(id % 3 = 0, '2018-01-01', concat('2018-02-', 10 + id % 15)) as dt",
     )
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
-    try:
-        tables.write_partitions(df, str(tmp_path / "t"), ("dt",))
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    tables.write_partitions(df, str(tmp_path / "t"), ("dt",), file_bytes="200KB")
     assert len(list((tmp_path / "t" / "dt=2018-01-01").glob("*.orc"))) > 1
     assert spark.read.orc(str(tmp_path / "t")).count() == 60_000
+
+
+def test_a_day_below_the_file_size_is_one_file(spark, tmp_path):
+    days = spark.range(40_000).repartition(8).selectExpr("id", "concat('2018-01-', 10 + id % 20) as dt")
+    tables.write_partitions(days, str(tmp_path / "t"), ("dt",))
+    assert {len(list(d.glob("*.orc"))) for d in (tmp_path / "t").glob("dt=*")} == {1}
+
+
+def test_a_rebuild_drops_days_under_every_overwrite_mode(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS rebuilt")
+    schema = "order_id string, dt string"
+    first = spark.createDataFrame([("1", "2018-01-01"), ("2", "2018-01-02")], schema)
+    location = str(tmp_path / "orders")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        tables.write_table(first, "rebuilt.orders", location, ("dt",))
+        second = tables.write_table(first.where("dt = '2018-01-02'"), "rebuilt.orders", location, ("dt",))
+        assert [tuple(r) for r in second.collect()] == [("2", "2018-01-02")]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+        spark.sql("DROP DATABASE rebuilt CASCADE")
+
+
+def test_the_manifest_of_a_run_is_stored(run, spark):
+    assert {r.target: r.record_count for r in run.manifest.collect()} == {
+        entity: len(lines) for entity, lines in LINES.items()
+    }
+    assert all("/work/manifest/" in file for file in run.manifest.inputFiles())

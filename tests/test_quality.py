@@ -121,3 +121,21 @@ def test_orphans_and_duplicates_with_their_rows(layers):
     assert {tuple(r) for r in orphans.collect()} == {("9", 2), (None, 1)}
     doubles = integrity.duplicate_keys(silver["products"], "product_id")
     assert [tuple(r) for r in doubles.collect()] == [("p", 3)]
+
+
+def test_without_a_time_the_clock_decides(spark, layers):
+    bronze, cleaned, gold = layers
+    now = datetime.datetime.now()
+    schema = cleaned["orders"].schema
+    days = [datetime.timedelta(days=d) for d in (-1, 1)]
+    orders = [
+        tuple(
+            {"order_id": str(i), "order_purchase_timestamp": now + day, "dt": "2018-01-01"}.get(f.name)
+            for f in schema.fields
+        )
+        for i, day in enumerate(days)
+    ]
+    cleaned = {**cleaned, "orders": spark.createDataFrame(orders, schema)}
+    report = quality.quality_report(bronze, cleaned, gold).collect()
+    found = {r.check_name: r.violations for r in report}
+    assert found["silver.orders - future order dates"] == 1

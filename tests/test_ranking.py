@@ -71,10 +71,34 @@ def test_a_poor_sample_costs_rounds_and_not_exactness(spark):
     df.unpersist()
 
 
-def test_equal_ties_are_an_error_and_not_one_large_task(spark):
+@pytest.mark.parametrize("leaf_rows", [10, 1_000_000])
+@pytest.mark.parametrize("k", [2, 5])
+def test_equal_ties_are_an_error_at_every_size(spark, leaf_rows, k):
     same = spark.range(200).select(F.lit(1).alias("key"), F.lit("a").alias("tie"))
     with pytest.raises(ValueError, match="tie column"):
-        global_ntile(same, {"t": Ranking("key", "tie")}, k=2, leaf_rows=10, sample_rows=20)
+        global_ntile(same, {"t": Ranking("key", "tie")}, k=k, leaf_rows=leaf_rows, sample_rows=20)
+
+
+def test_the_jobs_of_a_round_do_not_grow_with_the_brackets(spark):
+    df = spark.range(4_000).select(
+        *[((F.col("id") * p) % 4_001).alias(f"k{p}") for p in (3, 7, 11)],
+        F.col("id").cast("string").alias("tie"),
+    ).cache()
+    df.count()
+    context = spark.sparkContext
+
+    def jobs(rankings, k):
+        context.setJobGroup(f"{len(rankings)}-{k}", "tiles")
+        global_ntile(df, rankings, k=k, leaf_rows=2_000, sample_rows=1_500)
+        found = context.statusTracker().getJobIdsForGroup(f"{len(rankings)}-{k}")
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return len(found)
+
+    one = {"a": Ranking("k3", "tie")}
+    three = {f"k{p}": Ranking(f"k{p}", "tie") for p in (3, 7, 11)}
+    # numbering takes a job or two per ranking; sampling and counting are shared
+    assert jobs(three, 9) - jobs(one, 2) <= 2 * (len(three) - len(one))
+    df.unpersist()
 
 
 def test_the_tiles_need_no_shuffle_of_the_table(spark):
