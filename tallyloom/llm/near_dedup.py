@@ -14,7 +14,7 @@ Lists are not expanded into pairs. First every list is held against one of its n
 what is found to be linked falls into components. Then only nodes outside their list's largest
 component are left, and are joined with the others by their rarest shingles: of two sets
 above the threshold, each holds one of the other's rarest few. Candidates are counted by
-their coordinates and confirmed on full sets, so each link in the result is exact.
+further coordinates and confirmed on full sets, so each link in the result is exact.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from tallyloom.llm.word_hash import mix, run_hashes, word_hashes
 from tallyloom.sinks.scratch import materialize
 
 COORDINATES = 64
+#: Coordinates by which candidates are counted, drawn apart from those that are posted.
+COUNTED = 256
 #: Chance that two sets at the threshold agree in fewer coordinates than asked for.
 MISS = 1e-7
 #: Shingles of more left-over nodes than this are common, the others rare.
@@ -48,8 +50,8 @@ def matches_needed(percent: int, coordinates: int = COORDINATES, miss: float = M
     return coordinates
 
 
-def _coefficients(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(20_231)
+def _coefficients(coordinates: int, seed: int = 20_231) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
     factors = rng.integers(0, 1 << 31, coordinates, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     return factors, rng.integers(0, 1 << 32, coordinates, dtype=np.uint32)
 
@@ -65,11 +67,18 @@ def _shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.
         yield np.concatenate(sets), np.array([len(own) for own in sets])
 
 
+def _minima(hashes: np.ndarray, starts: np.ndarray, coefficients: tuple) -> np.ndarray:
+    """A row of coordinates for each set: the least value of its shingles under each function."""
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    pairs = zip(*coefficients)
+    return np.stack([np.minimum.reduceat(short * factor + term, starts) for factor, term in pairs], axis=1)
+
+
 def signatures(docs: DataFrame, key: str, text: str, size: int, coordinates: int = COORDINATES) -> DataFrame:
     """id, n_shingles, two hashes that stand for the whole set, and its MinHash coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors, terms = _coefficients(coordinates)
+        coefficients = _coefficients(coordinates)
         for batch in batches:
             all_counts, lows, highs, rows = [], [], [], []
             for hashes, counts in _shingle_sets(batch.column(1), size):
@@ -80,9 +89,7 @@ def signatures(docs: DataFrame, key: str, text: str, size: int, coordinates: int
                 if len(starts):
                     low[full] = np.add.reduceat(hashes, starts)
                     high[full] = np.add.reduceat(mix(hashes ^ np.uint64(0x5BD1E995)), starts)
-                    short = (hashes >> np.uint64(32)).astype(np.uint32)
-                    for number in range(coordinates):
-                        own[full, number] = np.minimum.reduceat(short * factors[number] + terms[number], starts)
+                    own[full] = _minima(hashes, starts, coefficients)
                 all_counts.append(counts)
                 lows.append(low.view(np.int64))
                 highs.append(high.view(np.int64))
@@ -109,21 +116,39 @@ def signatures(docs: DataFrame, key: str, text: str, size: int, coordinates: int
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """node and its shingle hashes, from (node, text)."""
+    """node, its shingle hashes and its counted coordinates, from (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coefficients = _coefficients(COUNTED, seed=77)
         for batch in batches:
-            parts = list(_shingle_sets(batch.column(1), size))
-            counts = np.concatenate([counts for _, counts in parts]) if parts else np.zeros(0, np.int64)
-            values = np.concatenate([hashes for hashes, _ in parts]) if parts else np.zeros(0, np.uint64)
-            ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64)))],
-                ["node", "shingles"],
-            )
+            at = 0
+            for hashes, counts in _shingle_sets(batch.column(1), size):
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                full = counts > 0
+                counted = np.zeros((len(counts), COUNTED), np.uint32)
+                if full.any():
+                    counted[full] = _minima(hashes, ends[:-1][full], coefficients)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(at, len(counts)),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes.view(np.int64))),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(len(counts) + 1) * COUNTED, pa.int32()),
+                            pa.array(counted.reshape(-1).view(np.int32)),
+                        ),
+                    ],
+                    ["node", "shingles", "counted"],
+                )
+                at += len(counts)
 
     kind = docs.schema["node"].dataType.simpleString()
-    return docs.mapInArrow(run, f"node {kind}, shingles array<bigint>")
+    return docs.mapInArrow(run, f"node {kind}, shingles array<bigint>, counted array<int>")
+
+
+def _agree(one: str, other: str, percent: int) -> Column:
+    """Whether two sets agree in as many counted coordinates as linked ones do."""
+    same = F.filter(F.zip_with(one, other, lambda x, y: x == y), lambda equal: equal)
+    return F.size(same) >= matches_needed(percent, COUNTED)
 
 
 def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
@@ -145,15 +170,19 @@ def _overlap(n: Column, m: Column, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (n + m) / (100 + percent) - 1e-9)
 
 
-def _confirmed(pairs: DataFrame, live: DataFrame, matches: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, live: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that agree in enough coordinates and whose full sets are above the threshold."""
-    one = live.select(F.col("node").alias("b"), F.col("posts").alias("b_posts"), F.col("shingles").alias("b_set"))
-    other = live.select(F.col("node").alias("a"), F.col("posts").alias("a_posts"), F.col("shingles").alias("a_set"))
+    one, other = (
+        live.select(
+            F.col("node").alias(side), F.col("counted").alias(f"{side}_counted"), F.col("shingles").alias(f"{side}_set")
+        )
+        for side in ("b", "a")
+    )
     common = F.size(F.array_intersect("a_set", "b_set"))
     return (
         pairs.join(one, "b")
         .join(other, "a")
-        .where(F.size(F.array_intersect("a_posts", "b_posts")) >= matches)
+        .where(_agree("a_counted", "b_counted", percent))
         .where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common))
         .select("a", "b")
     )
@@ -224,9 +253,12 @@ def _rare_pairs(
         )
     )
     rare = materialize(rare, "rare_shingles")
-    sides = ("node", "label", "n", "most", "rarest")
-    left = rare.where("odd").select("shingle", *(F.col(c).alias(f"a_{c}") for c in sides))
-    right = rare.select("shingle", *(F.col(c).alias(f"b_{c}") for c in sides))
+    counted = live.select("node", "counted")
+    sides = ("node", "label", "n", "most", "rarest", "counted")
+    asking = rare.where("odd").join(counted, "node")
+    left = asking.select("shingle", *(F.col(c).alias(f"a_{c}") for c in sides))
+    asked = rare.join(rare.where("odd").select("shingle").distinct(), "shingle", "left_semi")
+    right = asked.join(counted, "node").select("shingle", *(F.col(c).alias(f"b_{c}") for c in sides))
     return (
         left.join(
             right,
@@ -234,7 +266,8 @@ def _rare_pairs(
             & (F.col("a_label") != F.col("b_label"))
             & (F.least("a_most", "b_most") >= _overlap(F.col("a_n"), F.col("b_n"), percent))
             # once for a pair: where it first meets
-            & (F.get(F.array_intersect("a_rarest", "b_rarest"), F.lit(0)) == left["shingle"]),
+            & (F.get(F.array_intersect("a_rarest", "b_rarest"), F.lit(0)) == left["shingle"])
+            & _agree("a_counted", "b_counted", percent),
         )
         .select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b"))
         .distinct()
@@ -297,19 +330,21 @@ def near_duplicates(
     )
     nodes = prefixes.select("node").distinct()
     pairs = _pivot_pairs(lists, nodes.withColumn("label", F.col("node")), F.xxhash64("node"))
-    found_first = materialize(_confirmed(pairs, live, matches, percent), "links")
+    found_first = materialize(_confirmed(pairs, live, percent), "links")
     # The smallest confirmed partner will do as a label here: who has the same one is linked.
     ends = found_first.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
         found_first.select(F.col("b").alias("node"), F.col("b").alias("label"))
     )
     labels = _labels(nodes, ends.groupBy("node").agg(F.min("label").alias("label")))
-    pairs = _pivot_pairs(lists, labels, F.xxhash64("node", "post"))
-    links = materialize(links.union(found_first).union(_confirmed(pairs, live, matches, percent)), "links")
+    # A node that is linked already is the better one to hold the others against.
+    linked_first = F.struct((F.col("label") == F.col("node")).alias("single"), F.xxhash64("node", "post").alias("drawn"))
+    pairs = _pivot_pairs(lists, labels, linked_first)
+    links = materialize(links.union(found_first).union(_confirmed(pairs, live, percent)), "links")
     tied = components(links)
     labels = _labels(nodes, tied.withColumnRenamed("component", "label"))
     pairs = _rare_pairs(lists, live, labels, percent)
     # Components found so far stand for their links.
-    last = _confirmed(pairs, live, matches, percent).union(tied.select("node", "component"))
+    last = _confirmed(pairs, live, percent).union(tied.select("node", "component"))
     tied = components(materialize(last, "links"))
     of_class = classes.join(tied, "node", "left").select(
         "low", "high", "n_shingles", F.coalesce("component", "node").alias("component_id")
