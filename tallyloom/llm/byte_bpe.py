@@ -18,15 +18,17 @@ from functools import lru_cache
 from itertools import islice
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
 #: Pieces whose ids a worker remembers, and pairs of tokens.
-PIECES = 200_000
-PAIRS = 1_000_000
-#: Pieces of a text that are looked up in one go.
+PIECES = 400_000
+PAIRS = 400_000
+#: Pieces of a text that are looked up in one go, and bytes of ids that leave a task together.
 BLOCK = 65_536
+OUT_BYTES = 4 << 20
 
 
 class ByteBpe:
@@ -164,29 +166,38 @@ def encode_documents(
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
     schema = f"{fields}, {DIGEST}" + (", ids array<int>" if with_ids else "")
 
+    def rows_of(bpe: ByteBpe, column: pa.Array) -> Iterator[tuple[int, str, str, bytes]]:
+        for value in column:
+            hashed, decoded, own, count = hashlib.sha256(), hashlib.sha256(), [], 0
+            for packed in bpe.blocks(value.as_py() or ""):
+                hashed.update(packed)
+                decoded.update(bpe.decode(memoryview(packed).cast("I")))
+                count += len(packed) // 4
+                if with_ids:
+                    own.append(packed)
+            yield count, hashed.hexdigest(), decoded.hexdigest(), b"".join(own)
+
+    def record_batch(kept: list[pa.Array], rows: list[tuple[int, str, str, bytes]]) -> pa.RecordBatch:
+        counts, ids_hashes, decoded_hashes, ids = zip(*rows)
+        columns = [pa.array(counts, pa.int64()), pa.array(ids_hashes), pa.array(decoded_hashes)]
+        names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
+        if with_ids:
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            values = np.frombuffer(b"".join(ids), "<i4")
+            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)))
+            names.append("ids")
+        return pa.RecordBatch.from_arrays([*kept, *columns], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
         for batch in batches:
-            counts, ids_hash, decoded_hash, ids = [], [], [], []
-            for value in batch.column(batch.num_columns - 1):
-                count, hashed, decoded, own = 0, hashlib.sha256(), hashlib.sha256(), []
-                for packed in bpe.blocks(value.as_py() or ""):
-                    hashed.update(packed)
-                    block = memoryview(packed).cast("I").tolist()
-                    decoded.update(bpe.decode(block))
-                    count += len(block)
-                    if with_ids:
-                        own += block
-                counts.append(count)
-                ids_hash.append(hashed.hexdigest())
-                decoded_hash.append(decoded.hexdigest())
-                ids.append(own)
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            columns += [pa.array(counts, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(decoded_hash, pa.string())]
-            names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            *others, texts = batch.columns
+            first, rows, held = 0, [], 0
+            for row in rows_of(bpe, texts):
+                rows.append(row)
+                held += len(row[3])
+                if held > OUT_BYTES or first + len(rows) == len(texts):
+                    yield record_batch([column.slice(first, len(rows)) for column in others], rows)
+                    first, rows, held = first + len(rows), [], 0
 
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
