@@ -31,9 +31,11 @@ _LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` bounds the snippets that are fetched for training, over all languages."""
+    """``sample_rows`` bounds the snippets that are fetched for training, over all languages,
+    and ``languages`` how many labels are learned, the commonest ones."""
 
     sample_rows: int = 8_000
+    languages: int = 256
     hidden: int = 16
     steps: int = 320
     batch: int = 256
@@ -194,14 +196,25 @@ def training_sample(docs: DataFrame, settings: Settings, key: str, text: str, la
     """At most ``sample_rows`` snippets with labels, as many of each language as there are.
 
     A snippet lies at a place of its text drawn from the key. Rows are drawn by a hash of key and
-    text within each language; Spark cuts each language's rows before and after the shuffle.
+    text, first by a rate for each language that leaves a few times the rows wanted, so that
+    little is shuffled from a table of any size.
     """
     width = 2 * SEGMENT
     hashed = F.xxhash64(F.col(key), F.col(text))
     room = F.greatest(F.length(text) - width, F.lit(0)) + 1
-    rows = docs.where(
-        F.col(label).isNotNull() & F.col(key).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(F.col(key))
-    ).select(
+    labelled = docs.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
+    counts = (
+        labelled.groupBy(F.col(label).cast("string").alias("language"))
+        .count()
+        .orderBy(F.desc("count"), "language")
+        .limit(settings.languages)
+        .collect()
+    )
+    wanted = 4 * settings.sample_rows / max(1, len(counts))
+    rates = [F.lit(x) for row in counts for x in (row["language"], min(1.0, wanted / row["count"]))]
+    rate = F.try_element_at(F.create_map(*rates), F.col(label).cast("string")) if rates else F.lit(0.0)
+    even = F.shiftrightunsigned(hashed, 11) / F.lit(float(1 << 53))
+    rows = labelled.where((even < rate) & F.col(text).rlike(r"\p{L}")).select(
         F.col(label).cast("string").alias("language"),
         hashed.alias("drawn"),
         F.substring(F.col(text), (F.pmod(hashed, room) + 1).cast("int"), F.lit(width)).alias("snippet"),
