@@ -1,7 +1,8 @@
 """Repeated passages: every run of a few consecutive sentences is hashed and joined globally.
 
 A sentence ends with a word that ends in a full stop, question or exclamation mark, or at a
-line end. A run is the fewest sentences from its first one on that make up a number of
+line end. A stretch of many words without an end, as in tables, is cut after some words that
+their own hash picks, so that it is cut alike wherever it stands. A run is the fewest sentences from its first one on that make up a number of
 sentences and of words. Of all places of a run the first stays, by document and place; sentences
 that any other place covers go. Repeats within a document are found where it is read, so only
 one row per document and run is shuffled, of hashes alone; the first document of a run is found
@@ -23,6 +24,9 @@ from tallyloom.llm.word_hash import mix, words_of
 #: A run has so many sentences and so many words at least.
 SENTENCES, WORDS = 2, 25
 
+#: Stretches of more words without an end are cut, after one of so many words on average.
+LONG, CUT = 32, 16
+
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?"]] = True
 
@@ -55,6 +59,9 @@ def find_runs(data: np.ndarray, offsets: np.ndarray, sentences: int = SENTENCES,
     closes[:-1] |= text_of_word[1:] != text_of_word[:-1]
     opens = np.concatenate([[0], np.flatnonzero(closes[:-1]) + 1])
     length = np.diff(np.append(opens, total))
+    closes |= np.repeat(length > LONG, length) & (hashes % np.uint64(CUT) == 0)
+    opens = np.concatenate([[0], np.flatnonzero(closes[:-1]) + 1])
+    length = np.diff(np.append(opens, total))
     place = np.arange(total) - np.repeat(opens, length)
     factor = mix(place.astype(np.uint64) + np.uint64(1)) | np.uint64(1)
     low = mix(np.add.reduceat(hashes * factor, opens))

@@ -2,6 +2,15 @@
 
 import re
 
+import numpy as np
+
+from tallyloom.llm.word_hash import word_hashes
+
+
+def picked(word):
+    """Whether a long stretch is cut after this word."""
+    return int(word_hashes(np.frombuffer(word, np.uint8), np.array([0, len(word)]))[0][0]) % 16 == 0
+
 
 def words(text):
     return re.findall(rb"[^\x20\x09-\x0d]+", (text or "").encode().lower())
@@ -40,13 +49,21 @@ def without_repeats(rows, sentences=2, least=25):
     for key, text in sorted(rows):
         data = text.encode()
         places = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", data)]
-        found, own = [], []
+        stretches, own = [], []
         for k, (begin, end) in enumerate(places):
             own.append((begin, end))
             following = places[k + 1][0] if k + 1 < len(places) else len(data)
             if data[end - 1 : end] in (b".", b"!", b"?") or b"\n" in data[end:following] or k + 1 == len(places):
-                found.append((own[0][0], tuple(data[a:b].lower() for a, b in own)))
+                stretches.append(own)
                 own = []
+        found = []
+        for stretch in stretches:
+            own = []
+            for k, (begin, end) in enumerate(stretch):
+                own.append((begin, end))
+                if k + 1 == len(stretch) or len(stretch) > 32 and picked(data[begin:end].lower()):
+                    found.append((own[0][0], tuple(data[a:b].lower() for a, b in own)))
+                    own = []
         runs = []
         for i in range(len(found)):
             total = 0

@@ -126,6 +126,16 @@ def test_substring_edge_cases(docs):
     assert substring_dedup.remove_repeats(docs((1, "x")).limit(0)).collect() == []
 
 
+def test_substring_passage_without_a_sentence_end_is_found(docs):
+    rng = random.Random(6)
+    passage = _text(rng, 200, 10_000)
+    rows = [(1, "before it " + passage + " after it"), (2, _text(rng, 9) + " " + passage + " " + _text(rng, 9))]
+    got = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs(*rows)).collect()}
+    assert got[1] == rows[0][1]
+    assert len(got[2].split()) < 80
+    assert got == {key: text for key, (text, _, _) in plain.without_repeats(rows).items()}
+
+
 def test_substring_repeats_of_one_key_stay(docs):
     text = "A passage that has more than twenty five words in it so that it would count. It goes on for a while, as such passages do, and then it ends."
     got = substring_dedup.remove_repeats(docs((1, text), (1, text), (2, text))).collect()
