@@ -23,6 +23,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from tallyloom.llm.tables import tidy
+
 #: Pieces whose ids a worker remembers, and pairs of tokens.
 PIECES = 400_000
 PAIRS = 400_000
@@ -200,4 +202,4 @@ def encode_documents(
                     yield record_batch([column.slice(first, len(rows)) for column in others], rows)
                     first, rows, held = first + len(rows), [], 0
 
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(tidy(run), schema)

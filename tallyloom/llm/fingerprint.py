@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.tables import SLAB_BYTES
+from tallyloom.llm.tables import SLAB_BYTES, tidy
 from tallyloom.llm.word_hash import mix, run_hashes, word_hashes
 
 WIDE, BITS, RUN = 16, 128, 2
@@ -203,4 +203,4 @@ def fingerprint_documents(
                     size = sum(len(text) for _, text in part)
 
     id_type = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}[kind]
-    return ordered.mapInArrow(run, f"id {kind}, {RESULT}").withColumnRenamed("id", key)
+    return ordered.mapInArrow(tidy(run), f"id {kind}, {RESULT}").withColumnRenamed("id", key)

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.llm.tables import slabs, text_buffer
+from tallyloom.llm.tables import slabs, text_buffer, tidy
 
 UNKNOWN = "und"
 #: Bytes that start again with an empty state.
@@ -251,7 +251,7 @@ def train_network(
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)])], ["network"])
 
     sample = training_sample(docs, settings, key, text, label)
-    trained = sample.coalesce(1).mapInArrow(run, "network binary").collect()
+    trained = sample.coalesce(1).mapInArrow(tidy(run), "network binary").collect()
     return pickle.loads(trained[0][0]) if trained else None
 
 
@@ -291,5 +291,5 @@ def identify(
 
     letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     return docs.select(*keep, letter.alias("__letter"), F.col(text).alias("__text")).mapInArrow(
-        run, f"{fields}, lang_pred string, score double"
+        tidy(run), f"{fields}, lang_pred string, score double"
     )

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.llm.components import components
-from tallyloom.llm.tables import slabs, text_buffer
+from tallyloom.llm.tables import slabs, text_buffer, tidy
 from tallyloom.llm.word_hash import mix, run_hashes, word_hashes
 from tallyloom.sinks.scratch import materialize
 
@@ -111,7 +111,7 @@ def signatures(docs: DataFrame, key: str, text: str, size: int, coordinates: int
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(
-        run, f"id {kind}, n_shingles long, low long, high long, coordinates array<int>"
+        tidy(run), f"id {kind}, n_shingles long, low long, high long, coordinates array<int>"
     )
 
 
@@ -142,7 +142,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                 at += len(counts)
 
     kind = docs.schema["node"].dataType.simpleString()
-    return docs.mapInArrow(run, f"node {kind}, shingles array<bigint>, counted array<int>")
+    return docs.mapInArrow(tidy(run), f"node {kind}, shingles array<bigint>, counted array<int>")
 
 
 def _agree(one: str, other: str, percent: int) -> Column:

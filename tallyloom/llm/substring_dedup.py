@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.tables import slabs, text_buffer
+from tallyloom.llm.tables import slabs, text_buffer, tidy
 from tallyloom.llm.word_hash import mix, words_of
 
 #: A run has so many sentences and so many words at least.
@@ -107,7 +107,7 @@ def _hashed_runs(docs: DataFrame, key: str, text: str, sentences: int, words: in
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(
-        run, f"id {kind}, low long, high long"
+        tidy(run), f"id {kind}, low long, high long"
     )
 
 
@@ -197,4 +197,4 @@ def remove_repeats(
             )
 
     joined = docs.join(repeated, docs[key] == repeated["__id"], "left").drop("__id")
-    return joined.mapInArrow(run, f"{fields}, n_sentences long, n_removed long")
+    return joined.mapInArrow(tidy(run), f"{fields}, n_sentences long, n_removed long")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 from pathlib import Path
 
 import numpy as np
@@ -49,6 +52,23 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def tidy(run: Callable) -> Callable:
+    """The task ``run`` over batches, after which freed memory goes back to the system.
+
+    Workers are kept between tasks, and what their allocators keep would count
+    against the executor while its JVM is busy with other stages.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # only where the C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def slabs(offsets: np.ndarray, limit: int = SLAB_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes each; a longer row stands alone."""
     first, rows = 0, len(offsets) - 1

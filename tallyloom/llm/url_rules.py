@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.llm.tables import slabs, text_buffer
+from tallyloom.llm.tables import slabs, text_buffer, tidy
 
 ANY, SEGMENT, ALL = "any", "segment", "all"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -158,6 +158,6 @@ def judge_urls(
     judged = (
         pages.select(F.col(key).alias("key"), host.alias("host"), path.alias("path"))
         .withColumn("whole", F.concat("host", "path"))
-        .mapInArrow(run, f"key {kind}, host string, path string, rule string, verdict string, other_rule string")
+        .mapInArrow(tidy(run), f"key {kind}, host string, path string, rule string, verdict string, other_rule string")
     )
     return judged.withColumnRenamed("key", key)
