@@ -79,10 +79,9 @@ def _with_targets(cells: DataFrame, target: Target) -> DataFrame:
         else:
             share = F.pow(F.col("own").cast("double"), F.lit(target.temper[margin]))
         sums = sums.select(margin, share.alias("share"), "own")
-        total = sums.agg(F.sum("share").alias("shares"), F.sum("own").alias("all"))
-        goal = F.col("share") * F.col("all") / F.when(F.col("shares") > 0, F.col("shares"))
-        # ``total`` is a single row.
-        goals = sums.join(F.broadcast(total)).select(margin, F.coalesce(goal, F.lit(0.0)).alias(f"goal_{margin}"))
+        shares, whole = sums.agg(F.sum("share")).scalar(), sums.agg(F.sum("own")).scalar()
+        goal = F.col("share") * whole / F.when(shares > 0, shares)
+        goals = sums.select(margin, F.coalesce(goal, F.lit(0.0)).alias(f"goal_{margin}"))
         cells = cells.join(goals, margin)
     return cells
 
