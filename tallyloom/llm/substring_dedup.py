@@ -3,7 +3,10 @@
 A sentence ends with a word that ends in a full stop, question or exclamation mark, or at a
 line end. A stretch of many words without an end, as in tables, is cut after some words that
 their own hash picks, so that it is cut alike wherever it stands. A run is the fewest sentences from its first one on that make up a number of
-sentences and of words. Of all places of a run the first stays, by document and place; sentences
+sentences and of words. Passages that hold no such run, pasted into the middle of a sentence or
+short of two whole ones, are found by runs of a fixed number of words that begin anywhere: of a
+few neighbouring ones that of the least hash is picked, so equal passages of ``words + NEAR - 1``
+words pick a run in common at any alignment. Word runs count only where no sentence goes. Of all places of a run the first stays, by document and place; sentences
 that any other place covers go. Repeats within a document are found where it is read, so only
 one row per document and run is shuffled, of hashes alone; the first document of a run is found
 with a combine before the shuffle, and a run that many documents hold meets one row.
@@ -27,13 +30,63 @@ SENTENCES, WORDS = 2, 25
 #: Stretches of more words without an end are cut, after one of so many words on average.
 LONG, CUT = 32, 16
 
+#: Of so many word runs in a row one is picked at least.
+NEAR = 20
+#: Odd, so that powers have inverses modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?"]] = True
 
 
+@dataclass
+class Picked:
+    """First word and hashes of each picked word run."""
+
+    first: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    once: np.ndarray
+    """Whether it is the first of its hash in its text."""
+    again: np.ndarray
+    """Whether an equal run has ended in its text before it begins."""
+
+
+def _picked_runs(hashes: np.ndarray, text: np.ndarray, size: int, near: int = NEAR) -> Picked:
+    """Runs of ``size`` words with the least hash of ``near`` runs in a row of a text."""
+    count = len(hashes) - size + 1
+    windows = count - near + 1
+    if windows < 1:
+        none = np.zeros(0, np.int64)
+        return Picked(none, none.view(np.uint64), none.view(np.uint64), none.astype(bool), none.astype(bool))
+    powers, inverse = np.ones((2, len(hashes)), np.uint64)
+    powers[1:], inverse[1:] = _BASE, pow(_BASE, -1, 1 << 64)
+    powers, inverse = np.cumprod(powers), np.cumprod(inverse)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers)])
+    low = mix((sums[size:] - sums[:count]) * inverse[:count] ^ np.uint64(0x3C6EF372))
+    least = low[:windows].copy()
+    for step in range(1, near):
+        np.minimum(least, low[step : step + windows], out=least)
+    least[text[:windows] != text[near + size - 2 :]] = 0  # not within one text
+    # A run is picked if it is the least of any of the windows that hold it.
+    most = np.zeros(count, np.uint64)
+    for step in range(near):
+        np.maximum(most[step : step + windows], least, out=most[step : step + windows])
+    first = np.flatnonzero((most == low) & (most > 0))
+    low, high = low[first], np.zeros(len(first), np.uint64)
+    other = mix(hashes ^ np.uint64(0x5A5A5A5A))
+    for step in range(size):
+        high += other[first + step] * (mix(np.array([step + 1], np.uint64)) | np.uint64(1))
+    _, at, of = np.unique(mix(text[first].astype(np.uint64)) + low, return_index=True, return_inverse=True)
+    once = np.zeros(len(first), bool)
+    once[at] = True
+    return Picked(first, low, mix(high), once, first - first[at[of]] >= size)
+
+
 @dataclass
 class Runs:
-    """Of some texts: byte where each sentence begins, its text; first and last sentence and hashes of each run."""
+    """Of some texts: byte where each sentence begins, its text and words; first and last sentence and
+    hashes of each run; byte where each word begins and its text; picked word runs."""
 
     begin: np.ndarray
     text: np.ndarray
@@ -43,6 +96,11 @@ class Runs:
     high: np.ndarray
     again: np.ndarray
     """Whether the run stands earlier in its text."""
+    length: np.ndarray
+    word: np.ndarray
+    word_text: np.ndarray
+    picked: Picked
+
 
 
 def find_runs(data: np.ndarray, offsets: np.ndarray, sentences: int = SENTENCES, words: int = WORDS) -> Runs:
@@ -50,7 +108,9 @@ def find_runs(data: np.ndarray, offsets: np.ndarray, sentences: int = SENTENCES,
     total = len(begins)
     none = np.zeros(0, np.int64)
     if not total:
-        return Runs(none, none, none, none, none.view(np.uint64), none.view(np.uint64), none.astype(bool))
+        picked = _picked_runs(hashes, none, words)
+        hash_none = none.view(np.uint64)
+        return Runs(none, none, none, none, hash_none, hash_none, none.astype(bool), none, none, none, picked)
     own = data[offsets[0] : offsets[-1]]
     lines = np.concatenate([[0], np.cumsum(own == 10)])
     following = np.append(begins[1:], len(own))
@@ -85,7 +145,8 @@ def find_runs(data: np.ndarray, offsets: np.ndarray, sentences: int = SENTENCES,
     again = np.ones(len(first), bool)
     within = mix(text[first].astype(np.uint64)) + run_low
     again[np.unique(within, return_index=True)[1]] = False
-    return Runs(begins[opens], text, first, last, run_low, run_high, again)
+    picked = _picked_runs(hashes, text_of_word, words)
+    return Runs(begins[opens], text, first, last, run_low, run_high, again, length, begins, text_of_word, picked)
 
 
 def _hashed_runs(docs: DataFrame, key: str, text: str, sentences: int, words: int) -> DataFrame:
@@ -95,12 +156,15 @@ def _hashed_runs(docs: DataFrame, key: str, text: str, sentences: int, words: in
             for start, stop in slabs(offsets):
                 found = find_runs(data, offsets[start : stop + 1], sentences, words)
                 once = ~found.again
-                rows = start + found.text[found.first[once]]
+                picked = found.picked
+                texts = np.concatenate([found.text[found.first[once]], found.word_text[picked.first[picked.once]]])
+                low = np.concatenate([found.low[once], picked.low[picked.once]])
+                high = np.concatenate([found.high[once], picked.high[picked.once]])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(rows)),
-                        pa.array(found.low[once].view(np.int64)),
-                        pa.array(found.high[once].view(np.int64)),
+                        batch.column(0).take(pa.array(start + texts)),
+                        pa.array(low.view(np.int64)),
+                        pa.array(high.view(np.int64)),
                     ],
                     ["id", "low", "high"],
                 )
@@ -114,32 +178,44 @@ def _hashed_runs(docs: DataFrame, key: str, text: str, sentences: int, words: in
 def _rebuilt(
     data: np.ndarray, offsets: np.ndarray, repeated: list[list[int] | None], sentences: int, words: int
 ) -> tuple[list[bytes | None], np.ndarray, np.ndarray]:
-    """New texts, None where nothing goes; sentences of each text and those that went."""
+    """New texts, None where nothing goes; sentences of each text and those that lost words."""
     found = find_runs(data, offsets, sentences, words)
+    picked = found.picked
     rows = len(offsets) - 1
-    gone = found.again.copy()
-    run_text = found.text[found.first]
-    edges = np.searchsorted(run_text, np.arange(rows + 1))
-    for row, hashes in enumerate(repeated):
-        if hashes:
-            part = slice(edges[row], edges[row + 1])
-            gone[part] |= np.isin(found.low[part].view(np.int64), np.array(hashes, np.int64))
+    gone, gone_words = found.again.copy(), picked.again.copy()
+    for again, low, text in (
+        (gone, found.low, found.text[found.first]),
+        (gone_words, picked.low, found.word_text[picked.first]),
+    ):
+        edges = np.searchsorted(text, np.arange(rows + 1))
+        for row, hashes in enumerate(repeated):
+            if hashes:
+                part = slice(edges[row], edges[row + 1])
+                again[part] |= np.isin(low[part].view(np.int64), np.array(hashes, np.int64))
     change = np.zeros(len(found.begin) + 1, np.int64)
     np.add.at(change, found.first[gone], 1)
     np.add.at(change, found.last[gone] + 1, -1)
-    covered = np.cumsum(change)[:-1] > 0
+    covered = np.repeat(np.cumsum(change)[:-1] > 0, found.length)
+    taken = np.concatenate([[0], np.cumsum(covered)])
+    first = picked.first[gone_words]
+    first = first[taken[first + words] == taken[first]]
+    change = np.zeros(len(covered) + 1, np.int64)
+    np.add.at(change, first, 1)
+    np.add.at(change, first + words, -1)
+    covered |= np.cumsum(change)[:-1] > 0
     total = np.bincount(found.text, minlength=rows)
-    removed = np.bincount(found.text[covered], minlength=rows)
+    opens = np.cumsum(found.length) - found.length
+    lost = np.logical_or.reduceat(covered, opens) if len(opens) else covered
+    removed = np.bincount(found.text[lost], minlength=rows)
     texts: list[bytes | None] = [None] * rows
     base = offsets[0]
-    of_row = np.searchsorted(found.text, np.arange(rows + 1))
+    of_row = np.searchsorted(found.word_text, np.arange(rows + 1))
     for row in np.flatnonzero(removed):
-        own = np.arange(of_row[row], of_row[row + 1])
-        stops = np.append(found.begin[own[1:]], offsets[row + 1] - base)
-        parts = [data[offsets[row] : base + found.begin[own[0]]].tobytes()]
-        parts += [
-            data[base + found.begin[i] : base + stop].tobytes() for i, stop in zip(own, stops) if not covered[i]
-        ]
+        own = covered[of_row[row] : of_row[row + 1]]
+        begins = np.append(found.word[of_row[row] : of_row[row + 1]] + base, offsets[row + 1])
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], own, [True]])))
+        parts = [data[offsets[row] : begins[0]].tobytes()]
+        parts += [data[begins[i] : begins[j]].tobytes() for i, j in zip(edges[::2], edges[1::2])]
         texts[row] = b"".join(parts)
     return texts, total, removed
 
@@ -154,7 +230,9 @@ def remove_repeats(
     """All columns of ``docs`` with the repeated passages cut from ``text``; n_sentences, n_removed.
 
     Sentences are compared without regard to the case of A-Z and to white space. The white
-    space after a sentence goes with it. Rows that repeat a key count as one document for
+    space after a sentence goes with it. Where no sentences go, repeated words of a passage do:
+    of every ``words + NEAR - 1`` in a row that stand earlier, all but at most ``NEAR - 1`` at
+    each end. n_removed counts sentences that lost any word. Rows that repeat a key count as one document for
     the question which is first: what only they share stays, but repeats within a text go. Rows
     without a key are never first and lose only repeats within their text. A null text stays
     null; empty texts, texts shorter than a run, and all texts without a repeat stay as they
