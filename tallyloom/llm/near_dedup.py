@@ -116,7 +116,8 @@ def signatures(docs: DataFrame, key: str, text: str, size: int, coordinates: int
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """node, its shingle hashes and its counted coordinates, from (node, text)."""
+    """node, two hashes that stand for a set of it, the set's shingle hashes and its counted
+    coordinates, from (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coefficients = _coefficients(COUNTED, seed=77)
@@ -126,23 +127,28 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(counts)])
                 full = counts > 0
                 counted = np.zeros((len(counts), COUNTED), np.uint32)
+                low, high = np.zeros((2, len(counts)), np.uint64)
                 if full.any():
+                    low[full] = np.add.reduceat(hashes, ends[:-1][full])
+                    high[full] = np.add.reduceat(mix(hashes ^ np.uint64(0x5BD1E995)), ends[:-1][full])
                     counted[full] = _minima(hashes, ends[:-1][full], coefficients)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(counts)),
+                        pa.array(low.view(np.int64)),
+                        pa.array(high.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes.view(np.int64))),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(len(counts) + 1) * COUNTED, pa.int32()),
                             pa.array(counted.reshape(-1).view(np.int32)),
                         ),
                     ],
-                    ["node", "shingles", "counted"],
+                    ["node", "low", "high", "shingles", "counted"],
                 )
                 at += len(counts)
 
     kind = docs.schema["node"].dataType.simpleString()
-    return docs.mapInArrow(tidy(run), f"node {kind}, shingles array<bigint>, counted array<int>")
+    return docs.mapInArrow(tidy(run), f"node {kind}, low long, high long, shingles array<bigint>, counted array<int>")
 
 
 def _agree(one: str, other: str, percent: int) -> Column:
@@ -214,15 +220,19 @@ def _left_over(lists: DataFrame, labels: DataFrame) -> DataFrame:
 def _rare_pairs(
     lists: DataFrame, live: DataFrame, labels: DataFrame, percent: int
 ) -> DataFrame:
-    """Pairs of a left-over node and a node of another label that may be linked by their shingles."""
+    """Pairs of a left-over node and a node of another label that may be linked by their shingles.
+
+    A node with several sets is ranked once for each of them.
+    """
+    own = ["node", "low", "high"]
     of = materialize(_left_over(lists, labels), "left_over")
     sizes = live.select("node", F.size("shingles").alias("n"))
     least = lists.join(sizes, "node")
     least = least.join(least.groupBy("post").agg(F.min("n").alias("least")), "post")
     least = least.groupBy("node").agg(F.min("least").alias("least"))
-    shingles = of.join(live, "node").select("node", F.explode("shingles").alias("shingle"))
+    shingles = of.join(live, "node").select(*own, F.explode("shingles").alias("shingle"))
     often = shingles.groupBy("shingle").agg(F.count("*").alias("often"))
-    ranked = shingles.join(often, "shingle").groupBy("node").agg(
+    ranked = shingles.join(often, "shingle").groupBy(*own).agg(
         F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("ranked")
     )
     n = F.size("ranked")
@@ -235,7 +245,7 @@ def _rare_pairs(
         .join(labels, "node")
         .join(of, "node")
         .select(
-            "node",
+            *own,
             "label",
             "odd",
             n.alias("n"),
@@ -244,21 +254,21 @@ def _rare_pairs(
             F.filter(F.slice("ranked", F.lit(1), width), lambda r: r["often"] > 1).alias("rarest"),
         )
         .select(
-            "node", "label", "odd", "n", "shared", "common",
+            *own, "label", "odd", "n", "shared", "common",
             F.transform("rarest", lambda r: r["shingle"]).alias("rarest"), F.inline("rarest"),
         )
         .select(
-            "shingle", "node", "label", "odd", "n", "rarest",
+            "shingle", *own, "label", "odd", "n", "rarest",
             F.when(F.col("often") > RARE, F.col("common")).otherwise(F.col("shared")).alias("most"),
         )
     )
     rare = materialize(rare, "rare_shingles")
-    counted = live.select("node", "counted")
+    counted = live.select(*own, "counted")
     sides = ("node", "label", "n", "most", "rarest", "counted")
-    asking = rare.where("odd").join(counted, "node")
+    asking = rare.where("odd").join(counted, own)
     left = asking.select("shingle", *(F.col(c).alias(f"a_{c}") for c in sides))
     asked = rare.join(rare.where("odd").select("shingle").distinct(), "shingle", "left_semi")
-    right = asked.join(counted, "node").select("shingle", *(F.col(c).alias(f"b_{c}") for c in sides))
+    right = asked.join(counted, own).select("shingle", *(F.col(c).alias(f"b_{c}") for c in sides))
     return (
         left.join(
             right,
@@ -310,7 +320,8 @@ def near_duplicates(
     texts = docs.select(F.col(key).alias("node"), F.col(text).alias("text")).join(
         prefixes.select("node"), "node", "left_semi"
     )
-    live = materialize(prefixes.join(_sets(texts, size), "node"), "live")
+    # A set that rows of one key repeat is there once.
+    live = materialize(prefixes.join(_sets(texts, size), "node").dropDuplicates(["node", "low", "high"]), "live")
     lists = materialize(
         prefixes.select(
             "node", F.explode(F.slice("posts", F.lit(1), F.size("posts") - matches + 1)).alias("post")
