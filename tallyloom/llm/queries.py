@@ -11,15 +11,19 @@ from tallyloom.llm import (
     byte_bpe,
     chat_format,
     fingerprint,
+    hard_negatives,
     language_id,
     license_scan,
     mixing,
     near_dedup,
     neighbours,
+    spelling,
     substring_dedup,
     url_rules,
+    warc,
 )
 from tallyloom.llm.tables import table
+from tallyloom.sinks.scratch import materialize, new_scratch_path
 
 #: A conversation whose texts are control strings of a chat template.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -100,6 +104,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sampling_plan(table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    packages = materialize(warc.write_packages(pages, new_scratch_path(spark, "packages")), "packages")
+    return warc.read_packages(packages).select(
+        warc.key_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.key_of("refers_to").alias("refers_to"),
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents"), misspell=31))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_license_scan": op2_license_scan,
@@ -111,4 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
+    "op11_warc": op11_warc,
+    "op12_spelling": op12_spelling,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -110,8 +110,99 @@ FROM sets JOIN (SELECT node AS doc_id, min(other) AS component_id FROM reached G
 """
 
 
+#: 40 hexadecimal digits are 8 groups of 20 bits, each four letters of base32.
+WARC = """
+WITH sums AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digits FROM pages
+), groups AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload) AS response FROM sums
+), letters AS (
+  SELECT *, [('0x' || substr(digits, 5 * i + 1, 5))::BIGINT FOR i IN range(8)] AS bits FROM groups
+)
+SELECT page_id,
+       strlen(payload)::BIGINT AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((bits[1 + i // 4] >> (15 - 5 * (i % 4))) & 31), 1)
+                        FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
+FROM letters
+"""
+
+SPELLING = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS numbers(i))
+), runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00C0-\u00FF]{7,}')) AS run
+        FROM documents)
+  GROUP BY ALL
+), bytes AS (
+  SELECT run, n, flatten([CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+                               ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END
+                          FOR x IN string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, '')]) AS b
+  FROM runs
+), sums AS (
+  SELECT run, n, xor(list_reduce([4294967295] || b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h
+  FROM bytes, crc_table
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+        FROM sums)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word AS a, b.word AS b FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM words a JOIN cuts b ON a.word = b.cut
+  UNION SELECT b.word, a.word FROM words a JOIN cuts b ON a.word = b.cut
+), best AS (
+  SELECT a AS word, count(*) AS n_near, max(n) AS most, arg_min(b, (-n, b)) AS partner
+  FROM pairs JOIN words ON b = word GROUP BY a
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN most >= 10 * n THEN partner END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chains(word, place, steps) AS (
+  SELECT word, word, 0 FROM formed
+  UNION ALL
+  SELECT chains.word, form, steps + 1 FROM chains JOIN formed ON place = formed.word WHERE form IS NOT NULL
+)
+SELECT word, form, root, n, n_near, form_n
+FROM formed JOIN (SELECT word, arg_max(place, steps) AS root FROM chains GROUP BY word) USING (word)
+"""
+
+HARD_NEGATIVES = """
+WITH rows AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.id AS anchor, b.id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.id <> b.id AND len(a.v) = len(b.v) WHERE a.id % 100 = 0
+), positives AS (
+  SELECT anchor, id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor AS anchor_id, p.id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p
+JOIN scored n ON p.anchor = n.anchor AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
+
+
 STATEMENTS: dict[str, str] = {
     "op1_chat_format": chat_format(),
     "op3_near_dedup": NEAR_DUPLICATES,
     "op8_url_filter": url_filter(),
+    "op11_warc": WARC,
+    "op12_spelling": SPELLING,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -34,7 +34,7 @@ def test_query_equals_its_sql(shipped, second, name):
 def test_all_are_registered():
     assert QUERIES.items() <= entry.queries().items()
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 def test_the_rest_works_without_the_subpackage(tmp_path):
