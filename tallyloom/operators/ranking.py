@@ -7,10 +7,16 @@ itself with the boundaries: a projection, with no shuffle of the table.
 
 Locating the boundaries reads only the key and tie columns. Each round samples
 the rows still inside the brackets, of all brackets in one pass, to propose
-tighter ones and counts the rows below and inside them, in another. Counts
-decide, the sample only proposes, so the outcome is exact. Once a bracket holds at
+tighter ones and counts the rows below and equal to them, in another. Counts
+decide, the sample only proposes, so the outcome is exact. A proposed value is either
+the boundary's or leaves the bracket with all rows equal to it, so every round
+ends with a smaller bracket. Once a bracket holds at
 most ``leaf_rows`` rows these are numbered. What reaches the driver is bounded by
 ``sample_rows``, k and the number of rankings.
+
+Where a boundary falls inside rows that key and tie do not tell apart, these are
+shared out between the tiles by their position in the table, which is stored
+with it for this purpose; the position's boundary is located in the same way.
 """
 
 from __future__ import annotations
@@ -21,23 +27,29 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyloom.sinks.scratch import materialize
+
 
 @dataclass(frozen=True)
 class Ranking:
     """Order by ``key``, then by ``tie`` ascending.
 
-    NULL keys come first when ascending and last when descending. ``tie`` must
-    tell rows with equal keys apart.
+    NULL keys come first when ascending and last when descending. Rows with equal
+    keys and ties, or without a ``tie`` with equal keys, are taken in any order.
     """
 
     key: str
-    tie: str
+    tie: str | None = None
     descending: bool = False
 
+    @property
+    def columns(self) -> tuple[str, str]:
+        return self.key, self.tie or self.key
+
     def order(self) -> list[Column]:
         key = F.col(self.key)
         first = key.desc_nulls_last() if self.descending else key.asc_nulls_first()
-        return [first, F.col(self.tie).asc_nulls_first()]
+        return [first] if self.tie is None else [first, F.col(self.tie).asc_nulls_first()]
 
     def sorted(self, rows: list[tuple]) -> list[tuple]:
         """Rows on the driver in the same order: NULL lowest, NaN highest."""
@@ -51,15 +63,18 @@ class Ranking:
         return sorted(by_tie, key=lambda row: place(row[0]), reverse=self.descending)
 
     def equals(self, row: tuple) -> Column:
-        key, tie = row
-        return F.col(self.key).eqNullSafe(F.lit(key)) & F.col(self.tie).eqNullSafe(F.lit(tie))
+        return reduce(
+            lambda a, b: a & b,
+            [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(self.columns, row)],
+        )
 
     def precedes(self, row: tuple) -> Column:
         """True for the rows strictly before the given (key, tie)."""
         key, tie = row
-        return _before(self.key, key, self.descending) | (
-            F.col(self.key).eqNullSafe(F.lit(key)) & _before(self.tie, tie, False)
-        )
+        before = _before(self.key, key, self.descending)
+        if self.tie is None:
+            return before
+        return before | (F.col(self.key).eqNullSafe(F.lit(key)) & _before(self.tie, tie, False))
 
 
 def _before(column: str, value, descending: bool) -> Column:
@@ -73,7 +88,7 @@ def _before(column: str, value, descending: bool) -> Column:
 class _Target:
     """A boundary row being searched: position ``rank`` of one ranking.
 
-    It lies at or after row ``low`` and before row ``high`` (None is open);
+    It lies after all rows equal to ``low`` and before row ``high`` (None is open);
     ``below`` rows precede the bracket and ``size`` rows are in it.
     """
 
@@ -85,11 +100,36 @@ class _Target:
     high: tuple | None = None
 
     def inside(self) -> Column:
-        after_low = F.lit(True) if self.low is None else ~self.ranking.precedes(self.low)
+        after_low = F.lit(True)
+        if self.low is not None:
+            after_low = ~(self.ranking.precedes(self.low) | self.ranking.equals(self.low))
         before_high = F.lit(True) if self.high is None else self.ranking.precedes(self.high)
         return after_low & before_high
 
 
+@dataclass(frozen=True)
+class _Boundary:
+    """The row at a tile's start: the first ``share`` of the ``equal`` rows like it lie before the start."""
+
+    target: _Target
+    row: tuple
+    share: int
+    equal: int = 0
+    position: int | None = None
+
+    def before(self) -> Column:
+        """True for the rows before the start."""
+        ranking = self.target.ranking
+        if self.position is None:
+            return ranking.precedes(self.row)
+        placed = F.col(_POSITION) < self.position
+        return ranking.precedes(self.row) | (ranking.equals(self.row) & placed)
+
+
+#: Column with the position of a row, where equal rows are shared out.
+_POSITION = "_tile_position"
+
+
 def tile_starts(rows: int, k: int) -> list[int]:
     """0-based positions at which tiles 2 to k start; the first tiles get the rest."""
     size, larger = divmod(rows, k)
@@ -107,8 +147,9 @@ def global_ntile(
     """Add one tile column (1 to k) per entry of ``rankings``.
 
     ``df`` is read several times and should be stored. All rankings share the
-    scans that sample and count. Raises ValueError if a boundary falls on rows
-    that the tie column does not tell apart, at any size of the table.
+    scans that sample and count. Rows that key and tie do not tell apart are shared
+    out at a boundary, as many to each tile as NTILE does; only then is the table written once
+    more, with positions.
     """
     rows = df.count()
     targets = [
@@ -117,52 +158,48 @@ def global_ntile(
         for rank in tile_starts(rows, k)
     ]
     boundaries = _locate(df, targets, leaf_rows, sample_rows)
-    _check_ties(df, boundaries)
+    columns = df.columns
+    if any(b.share for b in boundaries):
+        df = materialize(df.withColumn(_POSITION, F.monotonically_increasing_id()), "positions")
+        boundaries = [_placed(df, b, leaf_rows, sample_rows) for b in boundaries]
     tiles = {}
     for name, ranking in rankings.items():
         reached = [
-            F.when(ranking.precedes(row), 0).otherwise(1)
-            for target, row in boundaries
-            if target.ranking == ranking
+            F.when(b.before(), 0).otherwise(1) for b in boundaries if b.target.ranking == ranking
         ]
         tiles[name] = reduce(lambda a, b: a + b, reached, F.lit(1)).cast("int")
-    return df.withColumns(tiles)
+    return df.select(*[F.col(f"`{c}`") for c in columns if c not in tiles], *[c.alias(n) for n, c in tiles.items()])
 
 
-def _check_ties(df: DataFrame, boundaries: list[tuple[_Target, tuple]]) -> None:
-    """Every boundary must be one row: equal rows could not be shared out between two tiles."""
-    if not boundaries:
-        return
-    counts = df.agg(*[F.count_if(target.ranking.equals(row)) for target, row in boundaries]).first()
-    if max(counts) > 1:
-        raise ValueError("the tie column does not tell rows with equal keys apart")
+def _placed(df: DataFrame, boundary: _Boundary, leaf_rows: int, sample_rows: int) -> _Boundary:
+    """Find the position at which the rows equal to the boundary's are shared out."""
+    if not boundary.share:
+        return boundary
+    same = df.where(boundary.target.ranking.equals(boundary.row))
+    equal = boundary.equal or same.count()
+    target = _Target(Ranking(_POSITION), boundary.share, equal)
+    found = _locate(same, [target], leaf_rows, sample_rows)
+    return replace(boundary, position=found[0].row[0])
 
 
-def _locate(df, targets, leaf_rows, sample_rows) -> list[tuple[_Target, tuple]]:
+def _locate(df, targets, leaf_rows, sample_rows) -> list[_Boundary]:
+    found: list[_Boundary] = []
     while wide := [t for t in targets if t.size > leaf_rows]:
         narrowed = _narrow(df, wide, sample_rows)
-        for before, after in zip(wide, narrowed):
-            if before == after and _single_valued(df, after):
-                raise ValueError("the tie column does not tell rows with equal keys apart")
-        targets = [t for t in targets if t.size <= leaf_rows] + narrowed
+        found += [t for t in narrowed if isinstance(t, _Boundary)]
+        targets = [t for t in targets if t.size <= leaf_rows]
+        targets += [t for t in narrowed if isinstance(t, _Target)]
     by_ranking: dict[Ranking, list[_Target]] = {}
     for target in targets:
         by_ranking.setdefault(target.ranking, []).append(target)
-    return [
-        found for ranking, group in by_ranking.items() for found in _pick(df, ranking, group)
-    ]
-
+    for ranking, group in by_ranking.items():
+        found += _pick(df, ranking, group)
+    return found
 
-def _single_valued(df: DataFrame, target: _Target) -> bool:
-    """Whether all rows of a bracket are equal, so that no sample can narrow it."""
-    ranking = target.ranking
-    inside = df.where(target.inside()).select(ranking.key, ranking.tie)
-    return len(inside.distinct().take(2)) == 1
 
-
-def _narrow(df: DataFrame, targets: list[_Target], sample_rows: int) -> list[_Target]:
+def _narrow(df: DataFrame, targets: list[_Target], sample_rows: int) -> list[_Target | _Boundary]:
     """One sampling pass and one counting pass over all brackets."""
-    brackets = list(dict.fromkeys((t.ranking, t.low, t.high, t.size) for t in targets))
+    brackets = list(dict.fromkeys(_bracket(t) for t in targets))
     first = {bracket: next(t for t in targets if _bracket(t) == bracket) for bracket in brackets}
     drawn = F.rand()
     tags = F.array_compact(
@@ -173,24 +210,27 @@ def _narrow(df: DataFrame, targets: list[_Target], sample_rows: int) -> list[_Ta
             ]
         )
     )
-    columns = sorted({name for t in targets for name in (t.ranking.key, t.ranking.tie)})
+    columns = sorted({name for t in targets for name in t.ranking.columns})
     chosen = df.select(*columns, F.explode(tags).alias("_bracket")).collect()
     samples: dict[tuple, list[tuple]] = {bracket: [] for bracket in brackets}
     for row in chosen:
         bracket = brackets[row["_bracket"]]
-        samples[bracket].append((row[bracket[0].key], row[bracket[0].tie]))
+        samples[bracket].append(tuple(row[name] for name in bracket[0].columns))
     samples = {bracket: bracket[0].sorted(rows) for bracket, rows in samples.items()}
     proposals = [_propose(target, samples[_bracket(target)]) for target in targets]
-    counts = df.agg(
-        *[
-            F.count_if(F.lit(False) if row is None else target.ranking.precedes(row))
-            for target, bounds in zip(targets, proposals)
-            for row in bounds
-        ]
-    ).first()
+    counts = iter(
+        df.agg(
+            *[
+                F.count_if(F.lit(False) if row is None else compare(row))
+                for target, bounds in zip(targets, proposals)
+                for row in bounds
+                for compare in (target.ranking.precedes, target.ranking.equals)
+            ]
+        ).first()
+    )
     return [
-        _tighten(target, bounds, counts[2 * i], counts[2 * i + 1])
-        for i, (target, bounds) in enumerate(zip(targets, proposals))
+        _tighten(target, [(row, next(counts), next(counts)) for row in bounds])
+        for target, bounds in zip(targets, proposals)
     ]
 
 
@@ -214,22 +254,24 @@ def _propose(target: _Target, sample: list[tuple]) -> tuple[tuple | None, tuple
     )
 
 
-def _tighten(target: _Target, bounds: tuple, before_low: int, before_high: int) -> _Target:
-    """Keep the part of the bracket that the counts show to hold the target."""
-    low, high = bounds
-    end = target.below + target.size
-    if low is not None:
-        if target.rank < before_low:
-            return replace(target, high=low, size=before_low - target.below)
-        target = replace(target, low=low, below=before_low, size=end - before_low)
-    if high is not None:
-        if target.rank >= before_high:
-            return replace(target, low=high, below=before_high, size=end - before_high)
-        target = replace(target, high=high, size=before_high - target.below)
+def _tighten(target: _Target, bounds: list[tuple]) -> _Target | _Boundary:
+    """Keep the part of the bracket that the counts show to hold the target, or tell its row.
+
+    ``bounds`` are proposed rows, the rows before and the rows equal to each.
+    """
+    for row, before, equal in bounds:
+        if row is None:
+            continue
+        end = target.below + target.size
+        if target.rank < before:
+            return replace(target, high=row, size=before - target.below)
+        if target.rank < before + equal:
+            return _Boundary(target, row, target.rank - before, equal)
+        target = replace(target, low=row, below=before + equal, size=end - before - equal)
     return target
 
 
-def _pick(df: DataFrame, ranking: Ranking, targets: list[_Target]) -> list[tuple]:
+def _pick(df: DataFrame, ranking: Ranking, targets: list[_Target]) -> list[_Boundary]:
     """Number the rows of each remaining bracket and read off the targets."""
     brackets = sorted({(t.below, t.size): t for t in targets}.items())
     number = {key: i for i, (key, _) in enumerate(brackets)}
@@ -241,14 +283,22 @@ def _pick(df: DataFrame, ranking: Ranking, targets: list[_Target]) -> list[tuple
     hit = F.struct("_bracket", "_row").isin(
         [F.struct(F.lit(b), F.lit(r)) for b, r in wanted]
     )
+    key, tie = ranking.columns
+    named = Ranking("_key", ranking.tie and "_tie", ranking.descending)
+    order = Window.partitionBy("_bracket").orderBy(*named.order())
     rows = (
         df.where(anywhere)
-        .select(ranking.key, ranking.tie, F.explode(member).alias("_bracket"))
-        .withColumn(
-            "_row",
-            F.row_number().over(Window.partitionBy("_bracket").orderBy(*ranking.order())),
+        .select(F.col(key).alias("_key"), F.col(tie).alias("_tie"), F.explode(member).alias("_bracket"))
+        .withColumns(
+            {
+                "_row": F.row_number().over(order),
+                "_first": F.rank().over(order),
+            }
         )
         .where(hit)
-        .select("_bracket", "_row", ranking.key, ranking.tie)
+        .select("_bracket", "_row", "_first", "_key", "_tie")
     )
-    return [(wanted[(row[0], row[1])], (row[2], row[3])) for row in rows.collect()]
+    return [
+        _Boundary(wanted[(row[0], row[1])], (row[3], row[4]), row[1] - row[2])
+        for row in rows.collect()
+    ]

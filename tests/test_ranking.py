@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from tallyloom.operators.ranking import Ranking, global_ntile, tile_starts
+from tallyloom.operators.ranking import Ranking, _Boundary, _Target, _tighten, global_ntile, tile_starts
 
 
 def _expected(df, ranking, k):
@@ -71,12 +71,60 @@ def test_a_poor_sample_costs_rounds_and_not_exactness(spark):
     df.unpersist()
 
 
+def _counts(df, ranking, k, **options):
+    """Rows per tile, key and tie, as found and by the window function."""
+    by = ["tile", *dict.fromkeys(ranking.columns)]
+    got = global_ntile(df, {"tile": ranking}, k=k, **options).groupBy(*by).count().collect()
+    window = F.ntile(k).over(Window.orderBy(*ranking.order()))
+    wanted = df.withColumn("tile", window).groupBy(*by).count().collect()
+    return sorted(map(repr, got)), sorted(map(repr, wanted))
+
+
 @pytest.mark.parametrize("leaf_rows", [10, 1_000_000])
 @pytest.mark.parametrize("k", [2, 5])
-def test_equal_ties_are_an_error_at_every_size(spark, leaf_rows, k):
+def test_equal_rows_are_shared_out(spark, leaf_rows, k):
     same = spark.range(200).select(F.lit(1).alias("key"), F.lit("a").alias("tie"))
-    with pytest.raises(ValueError, match="tie column"):
-        global_ntile(same, {"t": Ranking("key", "tie")}, k=k, leaf_rows=leaf_rows, sample_rows=20)
+    found = global_ntile(same, {"t": Ranking("key", "tie")}, k=k, leaf_rows=leaf_rows, sample_rows=20)
+    assert {r.t: r["count"] for r in found.groupBy("t").count().collect()} == {t: 200 // k for t in range(1, k + 1)}
+    assert found.columns == ["key", "tie", "t"]
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("others", [1, 299])
+def test_the_search_ends_among_equal_rows(spark, others, descending):
+    """300 equal rows and some more: a bracket of nearly equal rows must still shrink."""
+    data = [(1.0, 1)] * 300 + [(2.0 + i // 3, 2) for i in range(others)]
+    df = spark.createDataFrame(data, "key double, tie int").repartition(4).cache()
+    for k in (2, 5):
+        for ranking in (Ranking("key", "tie", descending), Ranking("key", descending=descending)):
+            got, wanted = _counts(df, ranking, k, leaf_rows=20, sample_rows=50)
+            assert got == wanted
+    df.unpersist()
+
+
+@pytest.mark.parametrize("leaf_rows", [50, 1_000_000])
+def test_key_alone_gives_the_counts_of_the_window_function(spark, leaf_rows):
+    seeded = random.Random(2)
+    data = [(seeded.choice([None, 0.0, 1.5, 1.5, 1.5, math.nan]), seeded.randrange(4)) for _ in range(999)]
+    df = spark.createDataFrame(data, "a double, b int").repartition(5).cache()
+    for ranking in (Ranking("a"), Ranking("a", descending=True), Ranking("b"), Ranking("b", "a", True)):
+        got, wanted = _counts(df, ranking, 7, leaf_rows=leaf_rows, sample_rows=40)
+        assert got == wanted
+    both = global_ntile(df, {"x": Ranking("a"), "y": Ranking("b")}, k=4, leaf_rows=leaf_rows, sample_rows=40)
+    for tile in "xy":
+        assert sorted(r["count"] for r in both.groupBy(tile).count().collect()) == [249, 250, 250, 250]
+    df.unpersist()
+
+
+def test_a_round_leaves_a_smaller_bracket():
+    """A proposed value is the boundary's, or it leaves the bracket with all rows equal to it."""
+    target = _Target(Ranking("key", "tie"), 300, 301)
+    once = _tighten(target, [((1, 1), 0, 300), ((1, 1), 0, 300)])
+    assert (once.low, once.below, once.size) == ((1, 1), 300, 1)
+    found = _tighten(_Target(Ranking("key", "tie"), 150, 301), [((1, 1), 0, 300), ((2, 2), 300, 1)])
+    assert isinstance(found, _Boundary) and (found.row, found.share, found.equal) == ((1, 1), 150, 300)
+    below = _tighten(_Target(Ranking("key", "tie"), 10, 301), [((2, 2), 300, 1), (None, 0, 0)])
+    assert (below.high, below.size) == ((2, 2), 300)
 
 
 def test_the_jobs_of_a_round_do_not_grow_with_the_brackets(spark):
