@@ -4,26 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-#: Rows of one key that a task may meet; a key with more is dealt to several.
-HOT_ROWS = 1_000_000
+#: A key with more than this share of all rows is cut into pieces of the share; one with fewer
+#: rows than the number is not.
+SHARE, LEAST_ROWS = 1e-4, 1_000
 
 
-def hot_keys(rows: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys of more than ``hot_rows`` rows, and the pieces into which each is to be cut (``_pieces``).
+def hot_keys(
+    rows: DataFrame, on: list[str], share: float = SHARE, least: int = LEAST_ROWS
+) -> DataFrame:
+    """The keys with more than ``share`` of all rows, and the pieces to cut each into (``_pieces``).
 
-    There are fewer of them than rows / ``hot_rows``, however the keys are spread: that bound
-    lets the list be broadcast. Keys with a null join nothing and are left out.
+    There are fewer than 1 / ``share`` of them, and fewer than twice as many pieces, whatever the size of
+    the table and however its keys are spread: that bound lets the list be broadcast. Null keys join
+    nothing and are left out.
     """
-    counted = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    return pieces(counted, on, "_rows", hot_rows)
+    return pieces(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")), on, "_rows", share, least)
 
 
-def pieces(counted: DataFrame, on: list[str], rows: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """As ``hot_keys``, of keys that are counted already in the column ``rows``."""
+def pieces(
+    counted: DataFrame, on: list[str], rows: str, share: float = SHARE, least: int = LEAST_ROWS
+) -> DataFrame:
+    """As ``hot_keys``, of keys that are counted already in the column ``rows``; it is read twice."""
+    part = F.greatest(counted.agg(F.sum(rows)).scalar() * share, F.lit(least))
     return (
-        counted.where(F.col(rows) > hot_rows)
-        .dropna(subset=on)
-        .select(*on, F.ceil(F.col(rows) / hot_rows).cast("int").alias("_pieces"))
+        counted.dropna(subset=on)
+        .select(*on, F.ceil(F.col(rows) / part).cast("int").alias("_pieces"))
+        .where(F.col("_pieces") > 1)
     )
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.functions.money import money_merge, money_parts, money_value
+from tallyloom.operators.hot_join import LEAST_ROWS, SHARE, hot_key_join, hot_keys
 from tallyloom.schemas import GOLD, conform
 
 DELIVERED = "delivered"
@@ -66,20 +67,23 @@ def daily_kpi_by_category(
     products: DataFrame,
     status: str = DELIVERED,
     unknown: str = "unknown",
+    share: float = SHARE,
+    least: int = LEAST_ROWS,
 ) -> DataFrame:
     """Figures per day and category; an order counts once in each of its categories.
 
-    The category is looked up first. Between two stored tables this is either a
-    broadcast, when the catalogue's size allows it, or a sort-merge join whose
-    skewed partitions (a best-selling product) Spark splits by itself: both
-    inputs are plain scans and the next step is a partial aggregate. Items are
+    The category is looked up first. Best-selling products, those of more than ``share``
+    of all items and ``least`` of them, are counted and cut into pieces, so that no task gets all items of one,
+    with or without adaptive execution. Items are
     then combined per order and category, so neither the join to orders nor the
     daily aggregate sees more than one row per pair.
     """
     category = F.coalesce("product_category_english", F.lit(unknown))
+    items = order_items.select("order_id", "product_id", "order_item_id", "price")
+    best_sellers = hot_keys(items.select("product_id"), ["product_id"], share, least)
+    catalogue = products.select("product_id", "product_category_english")
     per_order = (
-        order_items.select("order_id", "product_id", "order_item_id", "price")
-        .join(products.select("product_id", "product_category_english"), "product_id", "left")
+        hot_key_join(items, catalogue, ["product_id"], best_sellers, ["order_id", "order_item_id"], "left")
         .groupBy("order_id", category.alias("category"))
         .agg(
             F.count("order_item_id").alias("item_count"),
@@ -102,6 +106,25 @@ def daily_kpi_by_category(
     )
 
 
+def orders_of_days(orders: DataFrame, days: DataFrame) -> DataFrame:
+    """Orders of the days in a table of days (``dt``).
+
+    Of orders stored by day only the partitions of these days are read, although no day is known when the
+    query is planned: a small table of days is broadcast, and its values prune the scan.
+    """
+    return orders.join(days.select("dt"), "dt", "left_semi")
+
+
+def month_ends(orders: DataFrame) -> DataFrame:
+    """A table of the days with orders: dt, month and last_dt, the last such day of the month.
+
+    ``dt = last_dt`` picks the last days. A comparison, unlike a flag, tells Spark that the filter is
+    worth pruning another table by.
+    """
+    days = orders.select("dt").distinct().withColumn("month", F.substring("dt", 1, 7))
+    return days.withColumn("last_dt", F.max("dt").over(Window.partitionBy("month")))
+
+
 def kpi_range(kpi: DataFrame, first: str, last: str) -> DataFrame:
     """Daily figures from ``first`` to ``last``, both included, in order."""
     return (

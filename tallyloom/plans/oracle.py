@@ -471,6 +471,49 @@ def statements(parameters: dict) -> dict[str, str]:
         FROM (SELECT *, CAST(l_extendedprice * (1 - l_discount) / 7000 AS DECIMAL(38, 10)) AS amount
               FROM lineitem) AS amounts
         GROUP BY l_returnflag, l_linestatus"""
+    bodies["rfm_scores_ties"] = " UNION ALL ".join(
+        f"""SELECT '{name}' AS ranked_by, CAST(tile AS INTEGER) AS tile, CAST(value AS DOUBLE) AS value,
+                   COUNT(*) AS customers
+            FROM (SELECT {name} AS value, ntile(5) OVER (ORDER BY {name} {order}) AS tile
+                  FROM g_rfm_base) AS tiles GROUP BY ALL"""
+        for name, order in (
+            ("recency_days", "DESC NULLS LAST"),
+            ("frequency", "NULLS FIRST"),
+            ("monetary", "NULLS FIRST"),
+        )
+    )
+    bodies["backfill_table"] = f"""
+        SELECT order_id, CASE WHEN dt = '{p['day']}' THEN 'backfilled' ELSE order_status END AS order_status, dt
+        FROM s_orders
+        UNION ALL
+        SELECT 'new-' || order_id, 'backfilled', '{p['new_day']}' FROM s_orders WHERE dt = '{p['day']}'"""
+    bodies["backfill_partitions"] = f"""
+        SELECT DISTINCT 'dt=' || dt AS "partition" FROM s_orders
+        UNION ALL SELECT 'dt={p['new_day']}' WHERE EXISTS (FROM s_orders WHERE dt = '{p['day']}')"""
+    bodies["partition_statistics"] = f"""
+        SELECT unnest(['{p['day']}', '{p['new_day']}']) AS dt, COUNT(*) AS row_count
+        FROM s_orders WHERE dt = '{p['day']}' HAVING COUNT(*) > 0"""
+    bodies["column_statistics"] = " UNION ALL ".join(
+        f"""SELECT '{name}' AS column_name, COUNT(DISTINCT {name}) AS distinct_count,
+                   COUNT(*) - COUNT({name}) AS null_count, TRUE AS estimate_holds FROM s_orders"""
+        for name in p["order_columns"]
+    )
+    bodies["stored_order"] = " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, COUNT(*) AS row_count, CAST(0 AS BIGINT) AS out_of_order,
+                   TRUE AS several_files FROM g_{name}"""
+        for name in ("daily_kpi", "daily_kpi_by_category", "cohort_retention")
+    )
+    bodies["kpi_of_days"] = """SELECT * FROM g_daily_kpi
+        WHERE dt IN (SELECT MAX(dt) FROM s_orders GROUP BY substr(dt, 1, 7))"""
+    bodies["plan_orders_one_day"] = f"""
+        SELECT 'Scan orc' AS node, '[isnotnull(dt), (dt = {p['day']})]' AS partition_filters,
+               '[]' AS pushed_filters, CAST(0 AS BIGINT) AS exchanges, COUNT(DISTINCT dt) AS days
+        FROM s_orders WHERE dt = '{p['day']}'"""
+    bodies["full_run_databases"] = f"""
+        SELECT 'bronze' AS layer, 'Raw text as delivered' AS comment,
+               CAST({sum(name.endswith('_raw') for name in _RAW)} AS BIGINT) AS table_count, TRUE AS in_own_folder
+        UNION ALL SELECT 'silver', 'Typed and deduplicated tables', {len(_SILVER_TABLES)}, TRUE
+        UNION ALL SELECT 'gold', 'Marts', {len(_GOLD_TABLES) + 1}, TRUE"""
     bodies["full_run_tables"] = " UNION ALL ".join(
         f"SELECT '{layer}' AS layer, '{name}' AS table_name"
         for layer, names in (

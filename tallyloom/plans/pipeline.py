@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -29,6 +30,16 @@ _COMMENTS = {
 }
 
 
+def mart_order(mart: str) -> tuple:
+    """Columns by which a mart is stored in order."""
+    orders = {
+        "daily_kpi": lambda: ("dt",),
+        "daily_kpi_by_category": lambda: ("dt", F.desc("gmv"), "category"),
+        "cohort_retention": lambda: ("cohort_month", "activity_month"),
+    }
+    return orders[mart]() if mart in orders else ()
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Three databases below one folder; ``prefix`` goes before their names."""
@@ -69,9 +80,9 @@ class Run:
     report: DataFrame | None = None
 
 
-def land(warehouse: Warehouse, source: str) -> DataFrame:
-    """Land all files; the manifest is stored, so showing it reads no source again."""
-    paths = source_paths(warehouse.spark, source)
+def land(warehouse: Warehouse, source: str, entities: Iterable[str] = RAW_COLUMNS) -> DataFrame:
+    """Land the files of the entities; the manifest is stored, so showing it reads no source again."""
+    paths = source_paths(warehouse.spark, source, entities=entities)
     land_raw(warehouse.spark, paths, warehouse.location("bronze"))
     manifest = landing_manifest(warehouse.spark, paths)
     path = f"{warehouse.location('work')}/manifest"
@@ -79,10 +90,12 @@ def land(warehouse: Warehouse, source: str) -> DataFrame:
     return warehouse.spark.read.schema(manifest.schema).parquet(path)
 
 
-def build_bronze(warehouse: Warehouse) -> dict[str, DataFrame]:
+def build_bronze(
+    warehouse: Warehouse, entities: Iterable[str] = RAW_COLUMNS
+) -> dict[str, DataFrame]:
     warehouse.create("bronze")
     tables = {}
-    for entity in RAW_COLUMNS:
+    for entity in entities:
         table = warehouse.table("bronze", RAW_TABLES[entity])
         create_raw_table(
             warehouse.spark, table, entity, f"{warehouse.location('bronze')}/{entity}"
@@ -93,8 +106,9 @@ def build_bronze(warehouse: Warehouse) -> dict[str, DataFrame]:
 
 def together(action: Callable[[str], DataFrame], names: list[str]) -> dict[str, DataFrame]:
     """Run independent writes at the same time; jobs of one session share its executors."""
+    contexts = [copy_context() for _ in names]  # threads know the open scratch scope
     with ThreadPoolExecutor(len(names)) as pool:
-        return dict(zip(names, pool.map(action, names)))
+        return dict(zip(names, pool.map(lambda own, name: own.run(action, name), contexts, names)))
 
 
 def build_orders(warehouse: Warehouse, raw: DataFrame) -> DataFrame:
@@ -135,21 +149,14 @@ def build_gold(warehouse: Warehouse, tables: dict[str, DataFrame]) -> dict[str,
         totals = temporary_table(kpi.order_totals(orders, items), work, "order_totals")
         base = temporary_table(rfm.rfm_base(totals, customers, orders), work, "rfm_base")
         marts = {
-            "daily_kpi": (kpi.daily_kpi(totals), ("dt",)),
-            "daily_kpi_by_category": (
-                kpi.daily_kpi_by_category(orders, items, tables["products"]),
-                ("dt", F.desc("gmv"), "category"),
-            ),
-            "cohort_retention": (
-                cohort.cohort_retention(cohort.monthly_activity(orders, customers)),
-                ("cohort_month", "activity_month"),
-            ),
-            "rfm_features": (rfm.rfm_features(base), ()),
+            "daily_kpi": kpi.daily_kpi(totals),
+            "daily_kpi_by_category": kpi.daily_kpi_by_category(orders, items, tables["products"]),
+            "cohort_retention": cohort.cohort_retention(cohort.monthly_activity(orders, customers)),
+            "rfm_features": rfm.rfm_features(base),
         }
 
         def store(name: str) -> DataFrame:
-            df, order = marts[name]
-            table = warehouse.write("gold", name, df, order_by=order)
+            table = warehouse.write("gold", name, marts[name], order_by=mart_order(name))
             analyze(spark, warehouse.table("gold", name))
             return table
 

@@ -7,23 +7,39 @@ from collections.abc import Callable
 from functools import partial, reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.money import money_avg, money_sum
 from tallyloom.operators import churn, cohort, integrity, kpi, quality, rfm, silver, summaries
 from tallyloom.plans import oracle
+from tallyloom.plans.explain import plan_rows
 from tallyloom.plans.pipeline import (
     Run,
     Warehouse,
     build_bronze,
     build_orders,
     land,
+    mart_order,
     run_pipeline,
 )
 from tallyloom.schemas import RAW_COLUMNS, RAW_FILE_ENDINGS, RAW_TABLES, SILVER
-from tallyloom.sinks.scratch import materialize, new_scratch_path
+from tallyloom.operators.ranking import Ranking, global_ntile
+from tallyloom.sinks.scratch import Scope, materialize, new_scratch_path, owned_by
 from tallyloom.session import scoped
-from tallyloom.sinks.tables import read_partitions, row_count_statistic, table_list, write_partitions
+from tallyloom.sinks.tables import (
+    column_statistics,
+    create_database,
+    database_list,
+    insert_partitions,
+    partition_list,
+    partition_row_counts,
+    read_partitions,
+    row_count_statistic,
+    stored_order,
+    table_list,
+    write_partitions,
+    write_table,
+)
 from tallyloom.sources import landing
 from tallyloom.sources.csv import read_raw, write_raw
 from tallyloom.sources.star import raw_table, raw_tables, read_star
@@ -32,6 +48,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PARAMETERS = {
     "day": "1998-01-15",
+    "new_day": "2031-01-01",
     "first_day": "1998-01-01",
     "last_day": "1998-01-31",
     "cohort": "1995-01",
@@ -48,28 +65,40 @@ class Store:
     """
 
     _kept: dict[tuple[str, str, str], object] = {}
+    _scopes: dict[tuple[str, str], Scope] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
+    @property
+    def scope(self) -> Scope:
+        """Owner of all files and databases that are built over this folder."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        return self._scopes.setdefault(key, Scope(self.spark))
+
     def _keep(self, name: str, build: Callable[[], object]):
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in self._kept:
-            self._kept[key] = build()
+            with owned_by(self.scope):
+                self._kept[key] = build()
         return self._kept[key]
 
+    def _databases(self, name: str) -> str:
+        """A prefix of database names, for databases that go with the scope."""
+        prefix = f"{name}_{uuid4().hex[:8]}_"
+        self.scope.databases += [f"{prefix}{layer}" for layer in ("bronze", "silver", "gold")]
+        return prefix
+
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         return self._keep(name, lambda: materialize(build(), name))
 
     def close(self) -> None:
-        """Forget what was built over this folder and drop the databases of its runs."""
-        for key in [k for k in self._kept if k[1] == self.sf_dir]:
-            kept = self._kept.pop(key)
-            if isinstance(kept, Run):
-                for layer in ("bronze", "silver", "gold"):
-                    database = kept.databases[layer]
-                    self.spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+        """Forget what was built over this folder; drop its databases and delete its files."""
+        application = self.spark.sparkContext.applicationId
+        for key in [k for k in self._kept if k[:2] == (application, self.sf_dir)]:
+            del self._kept[key]
+        self.scope.close()
 
     def silver(self, name: str) -> DataFrame:
         return self._table(f"silver_{name}", lambda: clean(self.spark, self.sf_dir, name))
@@ -144,15 +173,14 @@ class Store:
         return self._keep("orders_by_day", write)
 
     def smaller_delivery(self) -> str:
-        """The same delivery, but without the orders of one day and one further order."""
+        """The orders as delivered, but without those of one day and one further order."""
 
         def export() -> str:
             path = new_scratch_path(self.spark, "delivery")
-            for entity, df in raw_tables(self.spark, self.sf_dir).items():
-                if entity == "orders":
-                    day = F.col("order_purchase_timestamp").startswith(PARAMETERS["day"])
-                    df = df.where(~day & (F.col("order_id") != PARAMETERS["lost_order"]))
-                write_raw(df, f"{path}/{RAW_FILE_ENDINGS[entity]}")
+            day = F.col("order_purchase_timestamp").startswith(PARAMETERS["day"])
+            orders = raw_table(self.spark, self.sf_dir, "orders")
+            kept = orders.where(~day & (F.col("order_id") != PARAMETERS["lost_order"]))
+            write_raw(kept, f"{path}/{RAW_FILE_ENDINGS['orders']}")
             return path
 
         return self._keep("smaller_delivery", export)
@@ -162,12 +190,12 @@ class Store:
         that replaces single partitions by default."""
 
         def rebuild() -> DataFrame:
-            name = f"rerun_{uuid4().hex[:8]}_"
+            name = self._databases("rerun")
             warehouse = Warehouse(self.spark, new_scratch_path(self.spark, name), name)
             with scoped(self.spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
                 for source in (self.exported(), self.smaller_delivery()):
-                    land(warehouse, source)
-                    orders = build_bronze(warehouse)["orders"]
+                    land(warehouse, source, ["orders"])
+                    orders = build_bronze(warehouse, ["orders"])["orders"]
                     orders = build_orders(warehouse, orders)
             return orders
 
@@ -177,12 +205,55 @@ class Store:
         """A run from the delivered CSV files to the checks, in its own databases."""
 
         def run() -> Run:
-            name = f"run_{uuid4().hex[:8]}_"
+            name = self._databases("run")
             root = new_scratch_path(self.spark, name)
             return run_pipeline(self.spark, self.exported(), root, name, as_of())
 
         return self._keep("full_run", run)
 
+    def backfilled(self) -> tuple[str, list[tuple]]:
+        """A table of the orders by day after a backfill of one day it has and one it has not; the
+        days that were written."""
+
+        def build() -> tuple[str, list[tuple]]:
+            name = f"{self._databases('backfill')}silver"
+            path = new_scratch_path(self.spark, name)
+            create_database(self.spark, name, "Orders by day, corrected", path)
+            table = f"{name}.orders"
+            write_table(self.silver("orders"), table, f"{path}/orders", ("dt",))
+            day = self.silver("orders").where(F.col("dt") == PARAMETERS["day"])
+            later = day.withColumns(
+                {"order_id": F.concat(F.lit("new-"), "order_id"), "dt": F.lit(PARAMETERS["new_day"])}
+            )
+            corrected = day.unionByName(later).withColumn("order_status", F.lit("backfilled"))
+            return table, insert_partitions(corrected, table)
+
+        return self._keep("backfilled", build)
+
+    def ordered_marts(self) -> dict[str, tuple[DataFrame, Column]]:
+        """Three marts written in order, as many files as shuffle partitions, and the keys of their orders."""
+        keys = {
+            "daily_kpi": F.struct("dt"),
+            "daily_kpi_by_category": F.struct("dt", F.isnull("gmv"), -F.col("gmv"), "category"),
+            "cohort_retention": F.struct("cohort_month", "activity_month"),
+        }
+
+        def build() -> dict[str, DataFrame]:
+            run = self.full_run()
+            name = f"{self._databases('ordered')}gold"
+            path = new_scratch_path(self.spark, name)
+            create_database(self.spark, name, "Marts in order", path)
+            with scoped(self.spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+                return {
+                    mart: write_table(
+                        run.gold[mart], f"{name}.{mart}", f"{path}/{mart}", order_by=mart_order(mart)
+                    )
+                    for mart in keys
+                }
+
+        written = self._keep("ordered_marts", build)
+        return {mart: (written[mart], keys[mart]) for mart in keys}
+
 
 def as_of() -> datetime.datetime:
     return datetime.datetime.fromisoformat(PARAMETERS["as_of"])
@@ -204,7 +275,14 @@ def clean(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _query(build: Callable[[Store], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(Store(spark, sf_dir))
+    """A query whose intermediate files belong to the store of its folder."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = Store(spark, sf_dir)
+        with owned_by(store.scope):
+            return build(store)
+
+    return query
 
 
 def _scan(entity: str) -> Query:
@@ -271,6 +349,100 @@ def _money_sums(s: Store) -> DataFrame:
     )
 
 
+def _kpi_of_days(s: Store) -> DataFrame:
+    """Figures of the last day of each month, from orders that are stored by day."""
+    orders = read_partitions(s.spark, s.partitioned_orders(), SILVER["orders"])
+    days = s._table("days", lambda: kpi.month_ends(s.silver("orders"))).where("dt = last_dt")
+    return kpi.daily_kpi(kpi.order_totals(kpi.orders_of_days(orders, days), s.silver("order_items")))
+
+
+def _plan_one_day(s: Store) -> DataFrame:
+    """The scan of one day: its filters, the exchanges of its plan and the days that it finds."""
+    day = _one_day(s)
+    rows = plan_rows(day)
+    exchanges = rows.agg(F.count_if(F.col("node").endswith("Exchange"))).scalar()
+    return rows.where(F.col("node").startswith("Scan")).select(
+        "node",
+        "partition_filters",
+        "pushed_filters",
+        exchanges.alias("exchanges"),
+        day.agg(F.count_distinct("dt")).scalar().alias("days"),
+    )
+
+
+def _rfm_scores_ties(s: Store) -> DataFrame:
+    """Customers per score and value where values alone rank them: equal ones are shared out."""
+    rankings = {
+        "recency_days": Ranking("recency_days", descending=True),
+        "frequency": Ranking("frequency"),
+        "monetary": Ranking("monetary"),
+    }
+    tiles = {name: f"{name}_tile" for name in rankings}
+    scored = global_ntile(s.rfm_base(), {tiles[name]: ranking for name, ranking in rankings.items()})
+    return reduce(
+        DataFrame.unionByName,
+        [
+            scored.groupBy(F.col(tile).alias("tile"), F.col(name).cast("double").alias("value"))
+            .agg(F.count(F.lit(1)).alias("customers"))
+            .select(F.lit(name).alias("ranked_by"), "tile", "value", "customers")
+            for name, tile in tiles.items()
+        ],
+    )
+
+
+def _backfill_table(s: Store) -> DataFrame:
+    return s.spark.table(s.backfilled()[0]).select("order_id", "order_status", "dt")
+
+
+def _partition_statistics(s: Store) -> DataFrame:
+    return partition_row_counts(s.spark, *s.backfilled())
+
+
+def _column_statistics(s: Store) -> DataFrame:
+    """Stored statistics of the orders' columns, the estimated distinct counts held against the exact ones."""
+    run = s.full_run()
+    kept = column_statistics(s.spark, f"{run.databases['silver']}.orders")
+    orders = run.silver["orders"]
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in orders.columns]).unpivot(
+        [], orders.columns, "column_name", "exact"
+    )
+    error = F.abs(F.col("distinct_count") - F.col("exact"))
+    return kept.join(exact, "column_name").select(
+        "column_name",
+        F.col("exact").alias("distinct_count"),
+        "null_count",
+        (error <= 0.15 * F.col("exact")).alias("estimate_holds"),
+    )
+
+
+def _stored_order(s: Store) -> DataFrame:
+    found = [
+        stored_order(table, key).select(
+            F.lit(mart).alias("table_name"),
+            "row_count",
+            "out_of_order",
+            (F.col("file_count") > 1).alias("several_files"),
+        )
+        for mart, (table, key) in s.ordered_marts().items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _full_run_databases(s: Store) -> DataFrame:
+    """Comment of each layer's database, its tables, and whether all of these lie below its folder."""
+    run = s.full_run()
+    databases = database_list(s.spark, run.databases)
+    tables = reduce(
+        DataFrame.unionByName,
+        [table_list(s.spark, database, layer) for layer, database in run.databases.items()],
+    )
+    counts = tables.groupBy("layer").agg(F.count(F.lit(1)).alias("table_count"))
+    own_folder = F.element_at(F.split("location", "/"), -1) == F.col("layer")
+    return databases.join(counts, "layer").select(
+        "layer", "comment", "table_count", own_folder.alias("in_own_folder")
+    )
+
+
 def _full_run_tables(s: Store) -> DataFrame:
     databases = s.full_run().databases
     return reduce(
@@ -399,9 +571,20 @@ QUERIES: dict[str, Query] = {
     "full_run_kpi_by_category": _query(
         lambda s: s.full_run().gold["daily_kpi_by_category"]
     ),
+    "rfm_scores_ties": _query(_rfm_scores_ties),
+    "backfill_table": _query(_backfill_table),
+    "backfill_partitions": _query(lambda s: partition_list(s.spark, s.backfilled()[0])),
+    "partition_statistics": _query(_partition_statistics),
+    "column_statistics": _query(_column_statistics),
+    "stored_order": _query(_stored_order),
+    "kpi_of_days": _query(_kpi_of_days),
+    "plan_orders_one_day": _query(_plan_one_day),
+    "full_run_databases": _query(_full_run_databases),
     "date_range": _query(lambda s: summaries.date_range(s.silver("orders"))),
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements({**PARAMETERS, "endings": RAW_FILE_ENDINGS})
+    return oracle.statements(
+        {**PARAMETERS, "endings": RAW_FILE_ENDINGS, "order_columns": SILVER["orders"].names}
+    )

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import AbstractContextManager
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tallyloom.schemas import raw_schema
 from tallyloom.session import scoped
+from tallyloom.sinks.scratch import remove_path
 from tallyloom.sources.csv import CSV_FORMAT
 
 _ORC = {"compression": "snappy"}
 
+#: Folders of a table's versions begin with it.
+_VERSION = "version-"
+
 #: Size of the pieces into which a large day is cut, one file each.
 FILE_BYTES = "256MB"
 
@@ -32,9 +39,6 @@ def _partitioned_write(file_bytes: str) -> dict[str, str]:
     }
 
 
-# Only a rebuild under this setting drops the days that are no longer there.
-_WHOLE = {"spark.sql.sources.partitionOverwriteMode": "static"}
-
 
 def quick_listing(spark: SparkSession) -> AbstractContextManager[None]:
     """List partition folders with a task per core; the default is one per folder."""
@@ -80,24 +84,169 @@ def write_table(
 ) -> DataFrame:
     """Rebuild an ORC table as a whole and return it.
 
-    What the location held is replaced, whatever the session's overwrite mode.
-    The old table is gone before the new one is there: a failed run is repeated.
+    The new rows go to a new folder below ``location`` and to a table of their own, which then
+    takes the name of the old one: until then, and if the write fails, the old table can be
+    read as it was. Its folder is deleted at the end. One writer of a table at a time.
     """
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    fresh, former = f"{table}__next", f"{table}__former"
+    _undo_switch(spark, table, former)
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    version = f"{location}/{_VERSION}{uuid4().hex}"
     rows = df.orderBy(*order_by) if order_by else _by_partition(df, partition_by)
-    writer = rows.write.format("orc").mode("overwrite").options(**_ORC)
+    writer = rows.write.format("orc").options(**_ORC).option("path", version)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    layout = _partitioned_write(file_bytes) if partition_by else {}
-    if layout:
-        with scoped(spark, {**_WHOLE, **layout}):
-            writer.option("path", location).saveAsTable(table)
-    else:  # no setting is changed, so such writes may run at the same time
-        writer.option("path", location).saveAsTable(table)
+    try:
+        if partition_by:
+            with scoped(spark, _partitioned_write(file_bytes)):
+                writer.saveAsTable(fresh)
+        else:  # no setting is changed, so such writes may run at the same time
+            writer.saveAsTable(fresh)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        remove_path(spark, version)
+        raise
+    old = None
+    if spark.catalog.tableExists(table):
+        old = table_location(spark, table)
+        spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    if old is not None:
+        spark.sql(f"DROP TABLE {former}")
+        if old.rpartition("/")[2].startswith(_VERSION):
+            remove_path(spark, old)
     return spark.table(table)
 
 
+def _undo_switch(spark: SparkSession, table: str, former: str) -> None:
+    """After a run that ended between the two renamings, give the old table its name back."""
+    if spark.catalog.tableExists(former):
+        if spark.catalog.tableExists(table):
+            spark.sql(f"DROP TABLE {former}")
+        else:
+            spark.sql(f"ALTER TABLE {former} RENAME TO {table}")
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """Folder of a table's files."""
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'")
+    return described.first().data_type.rstrip("/")
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
+
+
+def insert_partitions(df: DataFrame, table: str, file_bytes: str = FILE_BYTES) -> list[tuple]:
+    """Replace the partitions of a stored table that occur in ``df``, and add those that are new.
+
+    It goes through the catalog, which learns the new partitions, and collects the
+    statistics of the written ones. All other partitions stay as they are. ``df`` has the table's
+    columns, in any order, and must not read from the table itself. Returns the
+    values of the written partitions.
+    """
+    spark = df.sparkSession
+    by = tuple(partition_columns(spark, table))
+    if not by:
+        raise ValueError(f"{table} has no partitions")
+    dynamic = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+    with scoped(spark, {**dynamic, **_partitioned_write(file_bytes)}):
+        _by_partition(df.select(*spark.table(table).columns), by).write.insertInto(table, overwrite=True)
+    written = [tuple(row) for row in df.select(*by).distinct().orderBy(*by).collect()]
+    analyze_partitions(spark, table, written)
+    return written
+
+
+def _partition(columns: list[str], values: tuple) -> str:
+    quoted = (str(value).replace("\\", "\\\\").replace("'", "\\'") for value in values)
+    return ", ".join(f"`{name}` = '{value}'" for name, value in zip(columns, quoted))
+
+
+def analyze_partitions(spark: SparkSession, table: str, values: list[tuple]) -> None:
+    """Row counts and sizes of the given partitions; several are read at the same time."""
+    columns = partition_columns(spark, table)
+
+    def one(value: tuple) -> None:
+        spark.sql(f"ANALYZE TABLE {table} PARTITION ({_partition(columns, value)}) COMPUTE STATISTICS")
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(one, values))
+
+
+def partition_row_counts(spark: SparkSession, table: str, values: list[tuple]) -> DataFrame:
+    """Partition columns and row_count, as the catalog keeps them; null if it keeps none."""
+    columns = partition_columns(spark, table)
+
+    def kept(value: tuple) -> int | None:
+        shown = spark.sql(f"DESCRIBE EXTENDED {table} PARTITION ({_partition(columns, value)})")
+        said = shown.where("col_name = 'Partition Statistics'").collect()
+        found = re.search(r"([0-9]+) rows", said[0].data_type) if said else None
+        return int(found.group(1)) if found else None
+
+    rows = [(*map(str, value), kept(value)) for value in values]
+    fields = ", ".join(f"`{name}` string" for name in columns)
+    return spark.createDataFrame(rows, f"{fields}, row_count long")
+
+
+def partition_list(spark: SparkSession, table: str) -> DataFrame:
+    """(partition): the partitions that the catalog knows."""
+    return spark.sql(f"SHOW PARTITIONS {table}")
+
+
+def column_statistics(spark: SparkSession, table: str) -> DataFrame:
+    """(column_name, distinct_count, null_count) that the catalog keeps, the former estimated."""
+    rows = []
+    for column in spark.catalog.listColumns(table):
+        said = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {table} `{column.name}`").collect()}
+        counts = (said.get(name, "NULL") for name in ("distinct_count", "num_nulls"))
+        rows.append((column.name, *(None if count == "NULL" else int(count) for count in counts)))
+    return spark.createDataFrame(rows, "column_name string, distinct_count long, null_count long")
+
+
+def stored_order(table: DataFrame, key: Column) -> DataFrame:
+    """(file_count, row_count, out_of_order) of a stored table that should ascend by ``key``.
+
+    Rows are compared with the one before them in their file, and each file's smallest key with the
+    largest of the file before it, by the number that Spark gives to files: one row per
+    file is all that one task sees.
+    """
+    placed = table.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        key.alias("key"),
+    )
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("block", "at"))
+    files = (
+        placed.withColumn("late", before > F.col("key"))
+        .groupBy("file")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if("late").alias("late"),
+            F.min("key").alias("low"),
+            F.max("key").alias("high"),
+        )
+    )
+    number = F.regexp_extract("file", r"part-([0-9]+)", 1).cast("int")
+    chunk = F.regexp_extract("file", r"[-.]c([0-9]+)[^/]*$", 1).cast("int")
+    overlaps = F.lag("high").over(Window.orderBy(number, chunk)) > F.col("low")
+    return files.withColumn("overlaps", overlaps).agg(
+        F.count(F.lit(1)).alias("file_count"),
+        F.sum("rows").alias("row_count"),
+        (F.sum("late") + F.count_if("overlaps")).alias("out_of_order"),
+    )
+
+
+def database_list(spark: SparkSession, databases: dict[str, str]) -> DataFrame:
+    """(layer, comment, location) of databases by layer, from the catalog."""
+    rows = []
+    for layer, name in databases.items():
+        found = spark.catalog.getDatabase(name)
+        rows.append((layer, found.description, found.locationUri))
+    return spark.createDataFrame(rows, "layer string, comment string, location string")
+
+
 def write_partitions(
     df: DataFrame, location: str, partition_by: tuple[str, ...], file_bytes: str = FILE_BYTES
 ) -> None:

@@ -9,7 +9,7 @@ header is left out of the copy, so the scan of landed files expects none.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import pyarrow as pa
@@ -49,7 +49,12 @@ def _files(spark: SparkSession, path: str) -> DataFrame | None:
     )
 
 
-def source_paths(spark: SparkSession, source: str, prefix: str | None = None) -> dict[str, str]:
+def source_paths(
+    spark: SparkSession,
+    source: str,
+    prefix: str | None = None,
+    entities: Iterable[str] = RAW_FILE_ENDINGS,
+) -> dict[str, str]:
     """Path per entity, checked before anything is written.
 
     ``prefix`` is what file names begin with before their fixed endings; without
@@ -58,7 +63,7 @@ def source_paths(spark: SparkSession, source: str, prefix: str | None = None) ->
     """
     source = os.path.expanduser(source).rstrip("/")
     start = "*" if prefix is None else prefix
-    paths = {entity: f"{source}/{start}{end}" for entity, end in RAW_FILE_ENDINGS.items()}
+    paths = {entity: f"{source}/{start}{RAW_FILE_ENDINGS[entity]}" for entity in entities}
     if _files(spark, source) is None:
         raise MissingSource(f"dataset path does not exist: {source}")
     found = {entity: _files(spark, path) for entity, path in paths.items()}

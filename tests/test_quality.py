@@ -1,4 +1,5 @@
 import datetime
+from zoneinfo import ZoneInfo
 
 import pytest
 
@@ -89,6 +90,21 @@ def test_every_check_counts_its_bad_rows(spark, layers, zone):
     assert all(r.severity == r.status for r in report)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Pacific/Kiritimati", "Pacific/Pago_Pago"])
+def test_without_a_time_the_clock_decides_what_is_future(spark, rows, layers, zone):
+    """An order of tomorrow is one, an order of yesterday is none, by the clock of the session's zone."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        now = datetime.datetime.now(ZoneInfo(zone)).replace(tzinfo=None)
+        day = datetime.timedelta(days=1)
+        bronze, silver, gold = layers
+        bought = [(f"o{i}", "c", now + i * day, None, "2018-01-01") for i in (-1, 1, 2)]
+        report = quality.quality_report(bronze, {**silver, "orders": rows(ORDERS, bought)}, gold).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {r.violations for r in report if r.check_name == "silver.orders - future order dates"} == {2}
+
+
 def test_the_audit_holds_report_and_row_counts(layers):
     audited = quality.audit(*layers, as_of=AS_OF).cache()
     report = quality.audit_report(audited).collect()
