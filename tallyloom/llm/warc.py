@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.llm.tables import tidy
 from tallyloom.llm.zip_directory import members, stored_range
-from tallyloom.operators.hot_join import HOT_ROWS, hot_key_join, pieces
+from tallyloom.operators.hot_join import LEAST_ROWS, hot_key_join, pieces
 from tallyloom.sinks.scratch import materialize
 
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -131,7 +131,7 @@ def write_packages(
     payload: str = "html",
     least_bytes: int = 0,
     package_bytes: int = PACKAGE_BYTES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = LEAST_ROWS,
 ) -> DataFrame:
     """Writes a record per row below ``folder``; path, bytes and records of each package.
 
@@ -154,7 +154,7 @@ def write_packages(
         "warc_groups",
     )
     told = hot_key_join(
-        rows, groups.drop("copies"), ["sum"], pieces(groups, ["sum"], "copies", hot_rows), ["key", "url"], "left"
+        rows, groups.drop("copies"), ["sum"], pieces(groups, ["sum"], "copies", least=hot_rows), ["key", "url"], "left"
     ).select(
         "key", "url", "payload", F.when(~F.col("key").eqNullSafe(F.col("response")), F.col("response")).alias("refers_to")
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import hard_negatives, spelling, warc
 from tallyloom.llm.zip_directory import members, stored_range
-from tallyloom.operators.hot_join import HOT_ROWS
+from tallyloom.operators.hot_join import LEAST_ROWS
 from tallyloom.sinks.scratch import materialize, new_scratch_path
 from tests.llm.conftest import CLASHES
 
@@ -113,7 +113,7 @@ def _records(pages, **options):
     return packages, warc.read_packages(packages, with_payload=True)
 
 
-@pytest.mark.parametrize("hot_rows", [2, HOT_ROWS])
+@pytest.mark.parametrize("hot_rows", [2, LEAST_ROWS])
 def test_archives_come_back_whole(shipped, hot_rows):
     long = "é" * 3_000_000
     rows = [(1, "http://a.org/x", "same"), (9, "http://a.org/y", "same"), (4, None, "same"), (None, "u", "same"), (2, "http://b\r\nX: y", "é\x00\r\n\r\nWARC/1.1"),
