@@ -6,7 +6,7 @@ their own hash picks, so that it is cut alike wherever it stands. A run is the f
 sentences and of words. Passages that hold no such run, pasted into the middle of a sentence or
 short of two whole ones, are found by runs of a fixed number of words that begin anywhere: of a
 few neighbouring ones that of the least hash is picked, so equal passages of ``words + NEAR - 1``
-words pick a run in common at any alignment. Word runs count only where no sentence goes. Of all places of a run the first stays, by document and place; sentences
+words pick a run in common at any alignment. Of all places of a run the first stays, by document and place; sentences
 that any other place covers go. Repeats within a document are found where it is read, so only
 one row per document and run is shuffled, of hashes alone; the first document of a run is found
 with a combine before the shuffle, and a run that many documents hold meets one row.
@@ -21,11 +21,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.tables import slabs, text_buffer, tidy
+from tallyloom.llm.tables import slabs, text_buffer, tidy, unused
 from tallyloom.llm.word_hash import mix, words_of
 
-#: A run has so many sentences and so many words at least.
-SENTENCES, WORDS = 2, 25
+#: A run has so many sentences and so many words at least: with ``NEAR``, any 50 words in a row are found.
+SENTENCES, WORDS = 2, 31
 
 #: Stretches of more words without an end are cut, after one of so many words on average.
 LONG, CUT = 32, 16
@@ -196,9 +196,7 @@ def _rebuilt(
     np.add.at(change, found.first[gone], 1)
     np.add.at(change, found.last[gone] + 1, -1)
     covered = np.repeat(np.cumsum(change)[:-1] > 0, found.length)
-    taken = np.concatenate([[0], np.cumsum(covered)])
     first = picked.first[gone_words]
-    first = first[taken[first + words] == taken[first]]
     change = np.zeros(len(covered) + 1, np.int64)
     np.add.at(change, first, 1)
     np.add.at(change, first + words, -1)
@@ -230,7 +228,7 @@ def remove_repeats(
     """All columns of ``docs`` with the repeated passages cut from ``text``; n_sentences, n_removed.
 
     Sentences are compared without regard to the case of A-Z and to white space. The white
-    space after a sentence goes with it. Where no sentences go, repeated words of a passage do:
+    space after a sentence goes with it. Within and beside sentences repeated words go:
     of every ``words + NEAR - 1`` in a row that stand earlier, all but at most ``NEAR - 1`` at
     each end. n_removed counts sentences that lost any word. Rows that repeat a key count as one document for
     the question which is first: what only they share stays, but repeats within a text go. Rows
@@ -240,6 +238,7 @@ def remove_repeats(
     replaced; other columns stay, whatever their names.
     """
     kept = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
+    of, hashes_of = unused(docs.columns, "of"), unused(docs.columns, "repeated")
     docs = docs.select(*kept)
     runs = _hashed_runs(docs, key, text, sentences, words)
     firsts = runs.groupBy("low", "high").agg(F.min("id").alias("first"), F.max("id").alias("most"))
@@ -247,8 +246,8 @@ def remove_repeats(
         runs.join(firsts.where(F.col("first") < F.col("most")), ["low", "high"])
         .where(F.col("id") > F.col("first"))
         .groupBy("id")
-        .agg(F.collect_set("low").alias("__repeated"))
-        .withColumnRenamed("id", "__id")
+        .agg(F.collect_set("low").alias(hashes_of))
+        .withColumnRenamed("id", of)
     )
     at = kept.index(text)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
@@ -274,5 +273,5 @@ def remove_repeats(
                 [*kept, "n_sentences", "n_removed"],
             )
 
-    joined = docs.join(repeated, docs[key] == repeated["__id"], "left").drop("__id")
+    joined = docs.join(repeated, docs[key] == repeated[of], "left").drop(of)
     return joined.mapInArrow(tidy(run), f"{fields}, n_sentences long, n_removed long")

@@ -6,7 +6,10 @@ from tallyloom.llm.tables import ship_package
 DATA = "/root/testdata/sf0.001"
 TABLES = ("documents", "embeddings", "pages", "conversations")
 #: Names that the operators use inside, as columns of the input.
-CLASHES = {"id": 1, "node": 2, "own": 3, "words": "w", "label": "l", "score": 0.5, "component": 4, "low": 5, "kept": True}
+CLASHES = {
+    "id": 1, "node": 2, "own": 3, "words": "w", "label": "l", "score": 0.5, "component": 4, "low": 5, "kept": True,
+    "lang_pred": "p", "__source": "mine", "__id": 6, "__text": "t", "n_sentences": 7, "of": 8, "repeated": "r", "rank": 9, "weight": 1.5,
+}
 
 
 @pytest.fixture(scope="session")

@@ -116,8 +116,8 @@ def test_substring_edge_cases(docs):
         (6, "  \n" + passage.replace(" ", "\n") + "end"), (7, other + " " + other), (8, long), (9, "x. " * 50),
         (10, "Short. Short. Short."), (None, passage),
     ]
-    got = {r.doc_id: (r.text, r.n_sentences, r.n_removed) for r in substring_dedup.remove_repeats(docs(*rows)).collect()}
-    wanted = plain.without_repeats([(k, t) for k, t in rows if k is not None and t is not None])
+    got = {r.doc_id: (r.text, r.n_sentences, r.n_removed) for r in substring_dedup.remove_repeats(docs(*rows), words=25).collect()}
+    wanted = plain.without_repeats([(k, t) for k, t in rows if k is not None and t is not None], least=25)
     assert {k: v for k, v in got.items() if k in wanted} == wanted
     assert got[2][0] == "Before it. After it." and got[3][0] == "" and got[1][2] == 0
     assert got[4] == (None, 0, 0) and got[None] == (passage, 3, 0)
@@ -136,9 +136,31 @@ def test_substring_passage_without_a_sentence_end_is_found(docs):
     assert got == {key: text for key, (text, _, _) in plain.without_repeats(rows).items()}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_substring_any_fifty_words_in_a_row_are_found(docs, seed):
+    """Passages of 51 to 80 words pasted into the middle of sentences lose all but a few words at the ends."""
+    rng = random.Random(seed)
+    passages = [_text(rng, rng.randrange(51, 81), 10_000) for _ in range(20)]
+    sentence = lambda: " ".join(_text(rng, rng.randrange(3, 30), 10_000).split()) + ". "
+    rows = [(i, sentence() + _text(rng, 7, 10_000) + f" {p} " + _text(rng, 5, 10_000) + ". " + sentence()) for i, p in enumerate(passages * 2)]
+    got = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs(*rows)).collect()}
+    assert got == {key: text for key, (text, _, _) in plain.without_repeats(rows).items()}
+    for i, passage in enumerate(passages):
+        assert got[i] == rows[i][1]
+        left = len(got[20 + i].split()) - (len(rows[20 + i][1].split()) - len(passage.split()))
+        assert left <= 2 * (substring_dedup.NEAR - 1)
+
+
+def test_substring_word_runs_are_apart_from_sentence_runs(stored):
+    """With sentences alone some passages are missed; word runs only add to what goes."""
+    alone, both = (plain.without_repeats(stored.items(), word_runs=runs) for runs in (False, True))
+    assert all(both[key][2] >= alone[key][2] for key in alone)
+    assert sum(both[key][2] for key in both) > sum(alone[key][2] for key in alone)
+
+
 def test_substring_repeats_of_one_key_stay(docs):
     text = "A passage that has more than twenty five words in it so that it would count. It goes on for a while, as such passages do, and then it ends."
-    got = substring_dedup.remove_repeats(docs((1, text), (1, text), (2, text))).collect()
+    got = substring_dedup.remove_repeats(docs((1, text), (1, text), (2, text)), words=25).collect()
     assert sorted((r.doc_id, r.text) for r in got) == [(1, text), (1, text), (2, "")]
 
 
