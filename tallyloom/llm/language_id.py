@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.llm.tables import slabs, text_buffer, tidy
+from tallyloom.llm.tables import slabs, text_buffer, tidy, unused
 
 UNKNOWN = "und"
 #: Bytes that start again with an empty state.
@@ -31,11 +31,9 @@ _LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` bounds the snippets that are fetched for training, over all languages,
-    and ``languages`` how many labels are learned, the commonest ones."""
+    """``sample_rows`` bounds the snippets that are fetched for training, over all languages."""
 
     sample_rows: int = 8_000
-    languages: int = 256
     hidden: int = 16
     steps: int = 320
     batch: int = 256
@@ -181,10 +179,15 @@ class Network:
         return sums / np.maximum(letters, 1)[:, None]
 
 
-def encode_segments(texts: list[bytes]) -> np.ndarray:
-    """The first segment of each text, padded with zeros: (T, N)."""
-    padded = b"".join(text[:SEGMENT].ljust(SEGMENT, b"\0") for text in texts)
-    return np.ascontiguousarray(np.frombuffer(padded, np.uint8).reshape(-1, SEGMENT).T)
+def encode_segments(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All segments of all texts, padded with zeros: (T, N); and the text of each segment.
+
+    A text has as many segments as it takes, one at least, cut as those of a document are.
+    """
+    cut = [text[i : i + SEGMENT] for text in texts for i in range(0, max(1, len(text)), SEGMENT)]
+    of = np.repeat(np.arange(len(texts)), [max(1, -(-len(text) // SEGMENT)) for text in texts])
+    padded = b"".join(part.ljust(SEGMENT, b"\0") for part in cut)
+    return np.ascontiguousarray(np.frombuffer(padded, np.uint8).reshape(-1, SEGMENT).T), of
 
 
 def held_out(key: Column) -> Column:
@@ -195,6 +198,8 @@ def held_out(key: Column) -> Column:
 def training_sample(docs: DataFrame, settings: Settings, key: str, text: str, label: str) -> DataFrame:
     """At most ``sample_rows`` snippets with labels, as many of each language as there are.
 
+    Raises ValueError if there are more languages than rows of the sample: each needs one.
+
     A snippet lies at a place of its text drawn from the key. Rows are drawn by a hash of key and
     text, first by a rate for each language that leaves a few times the rows wanted, so that
     little is shuffled from a table of any size.
@@ -206,10 +211,11 @@ def training_sample(docs: DataFrame, settings: Settings, key: str, text: str, la
     counts = (
         labelled.groupBy(F.col(label).cast("string").alias("language"))
         .count()
-        .orderBy(F.desc("count"), "language")
-        .limit(settings.languages)
+        .limit(settings.sample_rows + 1)
         .collect()
     )
+    if len(counts) > settings.sample_rows:
+        raise ValueError(f"more than {settings.sample_rows} languages: raise Settings.sample_rows")
     wanted = 4 * settings.sample_rows / max(1, len(counts))
     rates = [F.lit(x) for row in counts for x in (row["language"], min(1.0, wanted / row["count"]))]
     rate = F.try_element_at(F.create_map(*rates), F.col(label).cast("string")) if rates else F.lit(0.0)
@@ -246,8 +252,8 @@ def train_network(
             return
         network = Network(settings.hidden, languages, settings.seed)
         if len(languages) > 1:
-            x = encode_segments([snippet.encode() for _, _, snippet, _ in rows])
-            network.train(x, np.array([languages.index(row[0]) for row in rows]), settings)
+            x, of = encode_segments([snippet.encode() for _, _, snippet, _ in rows])
+            network.train(x, np.array([languages.index(row[0]) for row in rows])[of], settings)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)])], ["network"])
 
     sample = training_sample(docs, settings, key, text, label)
@@ -260,9 +266,12 @@ def identify(
     network: Network | None,
     text: str = "text",
     keep: tuple[str, ...] = ("doc_id",),
+    names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
     """``keep`` columns with ``lang_pred`` and ``score``, one row per row of ``docs``.
 
+    ``names`` are those of the two new columns, none of which may be in ``keep``.
+
     Only the text is read. A null text, one without a letter, or any text when there is no
     network is ``und`` with score 0. Equal probabilities go to the language first in the
     alphabet. Repeated rows stay; columns that are not in ``keep`` are left out, whatever
@@ -281,15 +290,14 @@ def identify(
                     p = network.documents(data, offsets[first : last + 1])
                     best[first:last] = p.argmax(axis=1)
                     scores[first:last] = p.max(axis=1)
-            names = [network.languages[i] if ok and network else UNKNOWN for i, ok in zip(best, known)]
+            found = [network.languages[i] if ok and network else UNKNOWN for i, ok in zip(best, known)]
             sure = [round(min(1.0, float(s)), 6) if ok and network else 0.0 for s, ok in zip(scores, known)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(batch.num_columns - 2)]
-                + [pa.array(names, pa.string()), pa.array(sure, pa.float64())],
-                [*keep, "lang_pred", "score"],
+                + [pa.array(found, pa.string()), pa.array(sure, pa.float64())],
+                [*keep, *names],
             )
 
     letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    return docs.select(*keep, letter.alias("__letter"), F.col(text).alias("__text")).mapInArrow(
-        tidy(run), f"{fields}, lang_pred string, score double"
-    )
+    own = [letter.alias(unused(list(keep), "letter")), F.col(text).alias(unused(list(keep), "of_text"))]
+    return docs.select(*keep, *own).mapInArrow(tidy(run), f"{fields}, `{names[0]}` string, `{names[1]}` double")

@@ -11,7 +11,7 @@ import corpus_pipeline
 from tallyloom.llm import language_id, mixing, neighbours, substring_dedup
 from tallyloom.llm.queries import QUERIES
 from tests.llm import plain
-from tests.llm.conftest import DATA
+from tests.llm.conftest import CLASHES, DATA
 
 QUICK = language_id.Settings(sample_rows=600, hidden=8, steps=80, batch=64)
 
@@ -59,6 +59,55 @@ def test_language_query_is_right_on_held_out_documents(shipped, second):
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
+def test_a_network_equals_a_plain_loop():
+    """Every byte's probabilities by plain recurrent units, a segment at a time."""
+    network = language_id.Network(3, ["a", "b", "c"], seed=4)
+    texts = [b"", b"x", "Übung 12 macht den Meister, and so on; ".encode() * 4, b"123 .", b"y" * language_id.SEGMENT, b"z" * (language_id.SEGMENT + 1)]
+    w = network.weights
+    logistic = lambda v: 1 / (1 + np.exp(-v))
+
+    def states(way, segment):
+        h, out = np.zeros(3), {}
+        for t in range(len(segment)) if way == "on" else reversed(range(len(segment))):
+            own, old = w[f"{way}_in"][:, segment[t]].astype(float), w[f"{way}_again"].astype(float) @ h
+            reset, update = logistic(own[:3] + old[:3]), logistic(own[3:6] + old[3:6])
+            h = h + update * (np.tanh(own[6:] + reset * old[6:]) - h)
+            out[t] = h
+        return out
+
+    wanted = []
+    for text in texts:
+        total, letters = np.zeros(3), 0
+        for begin in range(0, len(text), language_id.SEGMENT):
+            segment = text[begin : begin + language_id.SEGMENT].ljust(language_id.SEGMENT, b"\0")
+            on, back = states("on", segment), states("back", segment)
+            for t, byte in enumerate(segment):
+                if chr(byte).isascii() and not chr(byte).isalpha():
+                    continue
+                logits = w["bias"][:, 0] + w["on_out"] @ on[t] + w["back_out"] @ back[t]
+                total += np.exp(logits) / np.exp(logits).sum()
+                letters += 1
+        wanted.append(total / max(1, letters))
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    assert np.allclose(network.documents(data, offsets), wanted, atol=1e-5)
+
+
+def test_all_segments_of_a_snippet_are_learned_from():
+    texts = [b"", b"a" * 64, b"b" * 65, "é".encode() * 64]
+    x, of = language_id.encode_segments(texts)
+    assert of.tolist() == [0, 1, 2, 2, 3, 3]
+    for i, text in enumerate(texts):
+        assert b"".join(x[:, k].tobytes() for k in np.flatnonzero(of == i)).rstrip(b"\0") == text
+
+
+def test_every_label_is_learned_or_refused(docs):
+    rows = [(i, "some letters of it", f"l{i % 300}", "s") for i in range(900)]
+    network = language_id.train_network(docs(*rows), language_id.Settings(hidden=2, steps=1, sample_rows=600))
+    assert len(network.languages) == len({f"l{i % 300}" for i in range(900) if not _held_out(i)}) > 256
+    with pytest.raises(ValueError, match="languages"):
+        language_id.train_network(docs(*rows), language_id.Settings(hidden=2, steps=1, sample_rows=200))
+
+
 def test_language_edge_cases_and_labels_that_are_not_read(docs):
     rng = random.Random(2)
     words = {"xx": ["alba", "corto", "mano"], "yy": ["stra", "wurk", "hund"]}
@@ -87,38 +136,58 @@ def test_language_edge_cases_and_labels_that_are_not_read(docs):
     assert sorted(r["count"] for r in sample.groupBy("language").count().collect()) == [25, 25]
 
 
-def _plain_raking(rows, target):
-    """Weights of cells by plain iterative proportional fitting."""
+def _filled(shares, caps, whole):
+    """Shares scaled by one factor, none beyond its cap, so that they add up to ``whole``; by bisection."""
+    low, high = 0.0, 1e18
+    for _ in range(300):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(caps[k], level * s) for k, s in shares.items()) < whole else (low, level)
+    return {k: min(caps[k], high * s) for k, s in shares.items()}
+
+
+def _plain_raking(rows, target, sweeps=300):
+    """Tokens and weights of cells by bounded proportional fitting, each category's factor found by bisection."""
     cells = {}
     for source, language, topic, tokens in rows:
         cells[source, language, topic] = cells.get((source, language, topic), 0) + tokens
-    total = sum(cells.values())
-    goals = []
+    shares, caps = [], []
     for margin in range(3):
         own = {}
         for key, tokens in cells.items():
             own[key[margin]] = own.get(key[margin], 0) + tokens
         name = mixing.MARGINS[margin]
-        shares = target.shares.get(name) or {k: v ** target.temper[name] for k, v in own.items()}
-        shares = {k: shares.get(k, 0.0) if v else 0.0 for k, v in own.items()}
-        goals.append({k: v * total / sum(shares.values()) for k, v in shares.items()})
-    weights = {key: float(tokens) for key, tokens in cells.items()}
-    for _ in range(200):
+        given = target.shares.get(name) or {k: v ** target.temper[name] for k, v in own.items()}
+        shares.append({k: given.get(k, 0.0) if v else 0.0 for k, v in own.items()})
+        caps.append({k: v / target.budget for k, v in own.items()})
+    most = [sum(cap for k, cap in own.items() if shares[i][k]) for i, own in enumerate(caps)]
+    whole = min([*most, float(sum(cells.values()))])
+    goals = [_filled(s, c, whole) for s, c in zip(shares, caps)]
+    cap = {key: tokens / target.budget for key, tokens in cells.items()}
+    free = {key: float(tokens) for key, tokens in cells.items()}
+    for _ in range(sweeps):
         for margin in range(3):
-            sums = {}
-            for key, weight in weights.items():
-                sums[key[margin]] = sums.get(key[margin], 0) + weight
-            weights = {
-                k: w * goals[margin][k[margin]] / sums[k[margin]] if sums[k[margin]] else 0.0 for k, w in weights.items()
-            }
-    return cells, weights
+            for category, goal in goals[margin].items():
+                own = {key: w for key, w in free.items() if key[margin] == category}
+                reach = sum(cap[key] for key, w in own.items() if w)
+                low, high = 0.0, 1e6
+                for _ in range(100 if goal < reach else 0):
+                    middle = (low * high) ** 0.5 if low else high / 1e3
+                    done = sum(min(cap[key], middle * w) for key, w in own.items()) < goal
+                    low, high = (middle, high) if done else (low, middle)
+                    if high < 1e-12:
+                        high = 0.0
+                        break
+                for key in own:
+                    free[key] *= high if goal < reach else 1.0
+    return cells, {key: min(cap[key], w) for key, w in free.items()}, whole
 
 
 @pytest.mark.parametrize(
     "target",
     [
-        mixing.Target(close=1e-9, rounds=100),
-        mixing.Target(shares={"language": {"en": 0.5, "fr": 0.5}, "topic": {"prose": 3, "table": 1, "no such": 9}}, close=1e-9, rounds=100),
+        mixing.Target(),
+        mixing.Target(shares={"language": {"en": 0.5, "fr": 0.5}, "topic": {"prose": 3, "table": 1, "no such": 9}}),
+        mixing.Target(shares={"source": {"a": 0.2, "c": 0.8}}, budget=0.4, rounds=6),  # margins that contradict each other
     ],
 )
 def test_raking_equals_a_plain_version(shipped, target):
@@ -129,13 +198,33 @@ def test_raking_equals_a_plain_version(shipped, target):
     ]
     measured = shipped.createDataFrame(rows, "source string, language string, topic string, tokens long")
     got = {tuple(r[:3]): r for r in mixing.raked_cells(measured, target).collect()}
-    cells, weights = _plain_raking(rows, target)
+    cells, weights, whole = _plain_raking(rows, target)
     assert {k: r.tokens for k, r in got.items()} == cells
-    for key, weight in weights.items():
-        assert got[key].weight == pytest.approx(weight, rel=1e-5)
     expected = sum(r.tokens * r.probability for r in got.values())
-    assert expected == pytest.approx(target.budget * sum(cells.values()), rel=1e-3)
+    if target.rounds == mixing.Target().rounds:
+        for key, weight in weights.items():
+            assert got[key].weight == pytest.approx(weight, rel=2e-3, abs=1e-4 * whole)
+        assert expected == pytest.approx(target.budget * whole, rel=1e-3)
+    assert expected <= target.budget * sum(cells.values()) * (1 + 1e-9)
     assert all(0 <= r.probability <= 1 for r in got.values())
+    # What is drawn has the raked shares: nothing is cut afterwards.
+    for place, margin in enumerate(mixing.MARGINS):
+        for category in {key[place] for key in got}:
+            own = [r for key, r in got.items() if key[place] == category]
+            assert own[0][f"share_{margin}"] == pytest.approx(sum(r.tokens * r.probability for r in own) / expected, rel=1e-6)
+
+
+def test_reachable_targets_are_met(shipped):
+    """A source of few tokens is drawn whole; what it lacks goes to the others, and all margins hold."""
+    rows = [(s, l, t, n) for s, n in (("tiny", 10), ("x", 500), ("y", 500)) for l in ("en", "fr") for t in ("prose", "table")]
+    measured = shipped.createDataFrame(rows, "source string, language string, topic string, tokens long")
+    target = mixing.Target(shares={"source": {"tiny": 0.5, "x": 0.3, "y": 0.2}, "language": {"en": 0.6, "fr": 0.4}})
+    got = mixing.raked_cells(measured, target).collect()
+    for r in got:
+        for margin in mixing.MARGINS:
+            assert r[f"share_{margin}"] == pytest.approx(r[f"target_{margin}"], abs=0.005)
+    assert {r.source: round(r.target_source, 4) for r in got} == {"tiny": 0.0198, "x": 0.5881, "y": 0.3921}
+    assert all(r.probability == pytest.approx(1) for r in got if r.source == "tiny")
 
 
 def test_mixing_edge_cases(docs):
@@ -233,6 +322,36 @@ def test_pipeline_stages_one_by_one(shipped, docs, stored):
         assert frame.columns == shipped_docs.columns
 
 
+def _awkward(shipped, rows):
+    """Documents with columns of clashing names, each with a value of its own."""
+    frame = shipped.createDataFrame(rows, shipped.read.parquet(f"{DATA}/documents.parquet").schema).repartition(3)
+    return frame.withColumns({name: F.lit(value) for name, value in CLASHES.items()})
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_pipeline_stages_keep_columns_of_any_name(shipped, second, name):
+    stored = second.sql("SELECT * FROM documents ORDER BY doc_id LIMIT 120").fetchall()
+    rows = [tuple(r) for r in stored] + [tuple(stored[0]), (5_000, None, None, None, None), (5_001, "", "en", "s", 0), (None, "no key at all", "en", "s", 13)]
+    docs = _awkward(shipped, rows)
+    out = dict(corpus_pipeline.STAGES)[name](shipped, docs, DATA)
+    found = out.collect()
+    assert found
+    if name != "byte_bpe":
+        assert out.columns == docs.columns
+        assert all(r[c] == v for r in found for c, v in CLASHES.items())
+
+
+def test_pipeline_keeps_one_of_repeated_rows(shipped):
+    text = "a document that stands in the table more than once, word for word"
+    rows = [(1, text, "en", "s", 9), (1, text, "en", "s", 9), (1, text.upper(), "en", "t", 9), (2, text, "en", "s", 9), (3, "another text that is like no other one", "en", "s", 9),
+            (3, "and a second version of it under the very same key", "en", "s", 9), (4, None, "en", "s", 0), (4, None, "en", "s", 0)]
+    docs = shipped.createDataFrame(rows, shipped.read.parquet(f"{DATA}/documents.parquet").schema).repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(shipped, docs, DATA).collect()
+    assert sorted((r.doc_id, r.text or "", r.source) for r in got) == sorted(
+        [(1, text.upper(), "t"), (3, rows[4][1], "s"), (3, rows[5][1], "s"), (4, "", "s")]
+    )
+
+
 def test_pipeline_runs_whole_and_on_nothing(shipped, tmp_path):
     rows = corpus_pipeline.run(shipped, DATA).collect()
     assert rows and all(r.n_tokens == len(r.ids) for r in rows)
