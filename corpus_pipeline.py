@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyloom.llm import byte_bpe, language_id, mixing, near_dedup, substring_dedup
-from tallyloom.llm.tables import ship_package, table
+from tallyloom.llm.tables import ship_package, table, unused
 from tallyloom.sinks.scratch import materialize
 
 #: Shares of a document's letters that must be of its language; und has none.
@@ -16,38 +18,75 @@ SHINGLE_WORDS, NEAR_PERCENT = 5, 80
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are mostly of one learned language; null texts and texts without a letter go."""
+    """Documents that are mostly of one learned language.
+
+    Null and empty texts, and texts without a letter, go, as do all if no row has a label. Rows that
+    repeat stay or go together. Columns of any name stay as they are; no rows give no rows.
+    """
     ship_package(spark)
     network = language_id.train_network(docs)
-    found = language_id.identify(docs, network, keep=tuple(docs.columns))
-    sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    language, share = unused(docs.columns, "language_found"), unused(docs.columns, "language_share")
+    found = language_id.identify(docs, network, keep=tuple(docs.columns), names=(language, share))
+    sure = (F.col(language) != language_id.UNKNOWN) & (F.col(share) >= LEAST_LANGUAGE_SCORE)
     return found.where(sure).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest id."""
+    """One document of each group of near duplicates: that of the smallest id.
+
+    Of rows that repeat an id and the words of its text, without regard to the case of A-Z, the one stays whose columns come
+    first in order, text before the others; rows of one id with other words stay, being other versions. Null and empty
+    texts are like no other text; rows without an id stay. Columns of any name stay as they are; no rows give no rows.
+    """
     ship_package(spark)
     found = near_dedup.near_duplicates(docs, size=SHINGLE_WORDS, percent=NEAR_PERCENT)
-    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    several, turn, said = (unused(docs.columns, name) for name in ("several", "turn", "said"))
+    # Only ids that go or stand in several rows meet the texts; hot ones are cut down to a row before the shuffle.
+    decided = (
+        found.groupBy("doc_id")
+        .agg(F.bool_and("kept").alias("kept"), (F.count(F.lit(1)) > 1).alias(several))
+        .where(~F.col("kept") | F.col(several))
+    )
+    stays = docs.join(decided.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti")
+    marked = stays.join(decided.where("kept").select("doc_id", several), "doc_id", "left")
+    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    lower = F.translate(words, string.ascii_uppercase, string.ascii_lowercase)
+    marked = marked.withColumn(said, F.sha2(lower, 256))
+    first = Window.partitionBy("doc_id", said).orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    one_each = marked.where(F.col(several)).withColumn(turn, F.row_number().over(first)).where(F.col(turn) == 1)
+    alone = marked.where(F.col(several).isNull())
+    return alone.select(*docs.columns).union(one_each.select(*docs.columns))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated passages; those of which nothing is left go."""
+    """Documents without their repeated passages, n_chars set anew; those of which nothing is left go.
+
+    Null and empty texts stay, as nothing is cut from them. Rows that repeat an id count as one document. Columns of
+    any name stay as they are; no rows give no rows.
+    """
     ship_package(spark)
-    cut = substring_dedup.remove_repeats(docs)
+    aside = {c: unused(docs.columns, f"own_{c}") for c in docs.columns if c.lower() in ("n_sentences", "n_removed")}
+    cut = substring_dedup.remove_repeats(docs.withColumnsRenamed(aside))
     left = (F.col("n_removed") == 0) | F.col("text").rlike(r"\S")
     length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.where(left).withColumn("n_chars", length).select(*docs.columns)
+    cut = cut.where(left).withColumn("n_chars", length)
+    return cut.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that sources, languages and topics have their target weights."""
+    """Documents drawn so that sources, languages and topics have their target weights.
+
+    Null categories are one of their own; null and empty texts are drawn at the rate of their cell, rows that repeat
+    an id together. Columns of any name stay as they are; no rows give no rows.
+    """
     return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, tokens, ids and the hashes of ids and of decoded bytes."""
+    """doc_id, tokens, ids and the hashes of ids and of decoded bytes, a row per row.
+
+    Null and empty texts have no ids. Other columns are left out; no rows give no rows.
+    """
     ship_package(spark)
     return byte_bpe.encode_documents(
         docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True
