@@ -2,8 +2,9 @@
 
 A text is reduced to its words with single blanks between. One expression over the beginnings of
 words tells whether any keyword occurs; only then are the rules tried whose keyword is there.
-Their places, as word numbers, are sorted; a place inside another one is dropped, and of two
-neighbours that overlap the one of lower priority. Places of base rules always stay.
+Their places, as word numbers, are sorted; a place inside another one is dropped, and one that overlaps
+a place of higher priority that stays, the highest priority being settled first. Places of base rules always stay.
+Time grows with the length of a text and the number of its places, not with their square.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: How far a place of each priority tells that a licence is stated.
 STRENGTH = {1: 0.4, 2: 0.7, 3: 0.95}
 BEGIN, END = "\x01", "\x02"
+#: Places that are scanned at a time.
+BLOCK = 256
 
 _RULE = "array<struct<number:int,label:string,priority:int,keyword:string,pattern:string,base:boolean>>"
 _PLACE = (
@@ -84,36 +87,81 @@ def _places(words: Column, rule: Column) -> Column:
     )
 
 
+def _running_max(values: Column, first: int) -> Column:
+    """For each whole number of an array the largest before it, ``first`` before the first.
+
+    An array that grows by one is copied each time, so the numbers are taken in blocks: what grows
+    is never longer than a block or the number of blocks.
+    """
+
+    def scan(numbers: Column, reach: Column) -> Column:
+        start = F.struct(reach.alias("reach"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(
+            numbers,
+            start,
+            lambda state, x: F.struct(
+                F.greatest(state["reach"], x).alias("reach"), F.concat(state["out"], F.array(state["reach"])).alias("out")
+            ),
+        )["out"]
+
+    starts = F.when(F.size(values) > 0, F.sequence(F.lit(1), F.size(values), F.lit(BLOCK))).otherwise(
+        F.array().cast("array<int>")
+    )
+    blocks = F.transform(starts, lambda start: F.slice(values, start, BLOCK))
+    reached = scan(F.transform(blocks, F.array_max), F.lit(first))
+    return F.flatten(F.zip_with(blocks, reached, scan))
+
+
 def _uncontained(places: Column) -> Column:
     """Sorted places without those that lie inside an earlier one; base places stay."""
-    start = F.struct(F.lit(0).alias("reach"), F.array().cast(_PLACE).alias("kept"))
-    passed = F.aggregate(
-        places,
-        start,
-        lambda state, place: F.struct(
-            F.greatest(state["reach"], place["end"]).alias("reach"),
-            F.when(
-                place["base"] | (place["end"] > state["reach"]),
-                F.concat(state["kept"], F.array(place)),
-            )
-            .otherwise(state["kept"])
-            .alias("kept"),
-        ),
-    )
-    return passed["kept"]
+    reach = _running_max(F.transform(places, lambda place: place["end"]), 0)
+    paired = F.zip_with(places, reach, lambda place, end: F.struct(place.alias("place"), end.alias("reach")))
+    kept = F.filter(paired, lambda x: x["place"]["base"] | (x["place"]["end"] > x["reach"]))
+    return F.transform(kept, lambda x: x["place"])
 
 
-def _by_priority(places: Column) -> Column:
-    """Without places that overlap a direct neighbour of higher priority; base places stay."""
+def _stay_of_level(judged: Column, level: int) -> Column:
+    """Places (place, stays) with those of a priority settled: one stays if it overlaps none that stays with a higher one.
 
-    def beaten(place: Column, i: Column) -> Column:
-        before, after = F.get(places, i - 1), F.get(places, i + 1)
-        return ~place["base"] & (
-            F.coalesce((before["end"] > place["start"]) & (before["priority"] > place["priority"]), F.lit(False))
-            | F.coalesce((after["start"] < place["end"]) & (after["priority"] > place["priority"]), F.lit(False))
-        )
+    Places are sorted by start, so of those before it the one that ends last decides, and of those after it the one
+    that starts first.
+    """
+
+    def higher(x: Column) -> Column:
+        return x["stays"] & (x["place"]["priority"] > level)
 
-    return F.filter(places, lambda place, i: ~beaten(place, i))
+    none = -(1 << 30)
+    before = _running_max(F.transform(judged, lambda x: F.when(higher(x), x["place"]["end"]).otherwise(none)), none)
+    after = F.reverse(
+        _running_max(F.reverse(F.transform(judged, lambda x: F.when(higher(x), -x["place"]["start"]).otherwise(none))), none)
+    )
+    sides = F.zip_with(before, after, lambda end, start: F.struct(end.alias("end"), (-start).alias("start")))
+    return F.zip_with(
+        judged,
+        sides,
+        lambda x, side: F.struct(
+            x["place"].alias("place"),
+            (
+                x["stays"]
+                | (
+                    (x["place"]["priority"] == level)
+                    & (side["end"] <= x["place"]["start"])
+                    & (side["start"] >= x["place"]["end"])
+                )
+            ).alias("stays"),
+        ),
+    )
+
+
+def _by_priority(rows: DataFrame, places: str) -> DataFrame:
+    """Without places that overlap one of higher priority that stays, the highest settled first; base places stay."""
+    rows = rows.withColumn(
+        places, F.transform(places, lambda place: F.struct(place.alias("place"), place["base"].alias("stays")))
+    )
+    for level in sorted(STRENGTH, reverse=True):
+        rows = rows.withColumn(places, _stay_of_level(F.col(places), level))
+    stayed = F.filter(places, lambda x: x["stays"])
+    return rows.withColumn(places, F.transform(stayed, lambda x: x["place"]))
 
 
 def _labels(places: Column) -> Column:
@@ -152,10 +200,8 @@ def scan_licenses(
     places = gated.select(
         key, "n_words", F.when(F.col("words").isNotNull(), found).otherwise(nothing).alias("found")
     )
-    kept = (
-        places.withColumn("kept", _uncontained(F.col("found")))
-        .withColumn("kept", _by_priority(F.col("kept")))
-        .withColumn("base", F.filter("found", lambda place: place["base"]))
+    kept = _by_priority(places.withColumn("kept", _uncontained(F.col("found"))), "kept").withColumn(
+        "base", F.filter("found", lambda place: place["base"])
     )
     strength = F.create_map(*(F.lit(x) for pair in STRENGTH.items() for x in pair))
     return kept.select(

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import re
 import struct
 
@@ -11,7 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from tallyloom.llm import byte_bpe, chat_format, license_scan, url_rules
-from tallyloom.llm.license_rules import RULES
+from tallyloom.llm.license_rules import RULES, parse
 from tallyloom.llm.queries import QUERIES
 from tests.llm.conftest import CLASHES, DATA
 
@@ -71,11 +72,10 @@ def plain_licences(text):
     found.sort()
     base = [p for p in found if p[7]]
     kept = [p for i, p in enumerate(found) if p[7] or not any(q[0] <= p[0] and q[4] >= p[4] for q in found[:i])]
-    final = []
-    for i, p in enumerate(kept):
-        near = [kept[j] for j in (i - 1, i + 1) if 0 <= j < len(kept)]
-        if p[7] or not any(q[0] < p[4] and q[4] > p[0] and q[5] > p[5] for q in near):
-            final.append(p)
+    final = [p for p in kept if p[7]]
+    for level in sorted(license_scan.STRENGTH, reverse=True):
+        higher = [q for q in final if q[5] > level]
+        final += [p for p in kept if p[5] == level and not p[7] and not any(q[0] < p[4] and q[4] > p[0] for q in higher)]
     starts = [p[0] for p in base]
     return (
         len(words), len(base), min(starts, default=None), max(starts, default=None),
@@ -103,6 +103,25 @@ def test_licences_equal_a_plain_version(docs, stored, shipped):
     assert license_scan.scan_licenses(docs((1, "x")).limit(0)).collect() == []
 
 
+def test_a_place_beaten_by_a_beaten_one_stays(docs):
+    rules = parse("A | 1 | aa | aa bb cc") + parse("B | 2 | cc | cc dd ee") + parse("C | 3 | ee | ee ff gg")
+    rows = [(1, "aa bb cc dd ee ff gg"), (2, "aa bb cc dd ee"), (3, "cc dd ee ff gg aa bb cc")]
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(docs(*rows), rules).collect()}
+    assert got == {1: "A,C", 2: "B", 3: "A,C"}
+
+
+def test_time_does_not_grow_with_the_square_of_the_places(docs):
+    """40,000 places in one text, base ones and others, and as many that overlap in chains."""
+    rows = [(1, "apache license version 2 x " * 40_000), (2, "aa bb cc dd ee ff gg " * 20_000)]
+    rules = [rule for rule in RULES if rule.keyword in rows[0][1]]
+    rules += parse("A | 1 | aa | aa bb cc") + parse("B | 2 | cc | cc dd ee") + parse("C | 3 | ee | ee ff gg")
+    began = time.monotonic()
+    got = {r.doc_id: r for r in license_scan.scan_licenses(docs(*rows), rules).collect()}
+    assert time.monotonic() - began < 60
+    assert got[1].n_base == 40_000 and got[1].base_labels == "apache-2"
+    assert (got[2].labels, got[2].n_places) == ("A,C", 40_000)
+
+
 def test_licence_rules_are_hundreds_and_every_keyword_is_needed():
     assert len(RULES) >= 200
     assert all(rule.keyword == rule.keyword.lower().strip() for rule in RULES)
