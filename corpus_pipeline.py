@@ -41,20 +41,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ship_package(spark)
     found = near_dedup.near_duplicates(docs, size=SHINGLE_WORDS, percent=NEAR_PERCENT)
     several, turn, said = (unused(docs.columns, name) for name in ("several", "turn", "said"))
-    # Only ids that go or stand in several rows meet the texts; hot ones are cut down to a row before the shuffle.
-    decided = (
+    decided = materialize(
         found.groupBy("doc_id")
         .agg(F.bool_and("kept").alias("kept"), (F.count(F.lit(1)) > 1).alias(several))
-        .where(~F.col("kept") | F.col(several))
+        .where(~F.col("kept") | F.col(several)),
+        "near_decided",
     )
-    stays = docs.join(decided.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti")
-    marked = stays.join(decided.where("kept").select("doc_id", several), "doc_id", "left")
+    gone, repeated = (decided.where(test).select("doc_id") for test in (~F.col("kept"), F.col("kept")))
+    if not repeated.take(1):  # no id that stays stands in several rows: the texts meet one list alone
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    alone = docs.join(decided.select("doc_id"), "doc_id", "left_anti")
     words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     lower = F.translate(words, string.ascii_uppercase, string.ascii_lowercase)
-    marked = marked.withColumn(said, F.sha2(lower, 256))
+    rows = docs.join(repeated, "doc_id", "left_semi").withColumn(said, F.sha2(lower, 256))
+    # The first row of each id and words is taken before and after the shuffle, so a hot id is cut down.
     first = Window.partitionBy("doc_id", said).orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    one_each = marked.where(F.col(several)).withColumn(turn, F.row_number().over(first)).where(F.col(turn) == 1)
-    alone = marked.where(F.col(several).isNull())
+    one_each = rows.withColumn(turn, F.row_number().over(first)).where(F.col(turn) == 1)
     return alone.select(*docs.columns).union(one_each.select(*docs.columns))
 
 
