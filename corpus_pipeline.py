@@ -15,6 +15,15 @@ from tallyloom.sinks.scratch import materialize
 LEAST_LANGUAGE_SCORE = 0.4
 #: Words of a shingle and percent of the union that near duplicates share.
 SHINGLE_WORDS, NEAR_PERCENT = 5, 80
+#: Documents that pass to a Python task at a time, unless the session says otherwise: whole texts of many would fill it.
+BATCH_ROWS = 1_000
+_BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def _prepare(spark: SparkSession) -> None:
+    ship_package(spark)
+    if spark.conf.get(_BATCH) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +32,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Null and empty texts, and texts without a letter, go, as do all if no row has a label. Rows that
     repeat stay or go together. Columns of any name stay as they are; no rows give no rows.
     """
-    ship_package(spark)
+    _prepare(spark)
     network = language_id.train_network(docs)
     language, share = unused(docs.columns, "language_found"), unused(docs.columns, "language_share")
     found = language_id.identify(docs, network, keep=tuple(docs.columns), names=(language, share))
@@ -38,7 +47,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     first in order, text before the others; rows of one id with other words stay, being other versions. Null and empty
     texts are like no other text; rows without an id stay. Columns of any name stay as they are; no rows give no rows.
     """
-    ship_package(spark)
+    _prepare(spark)
     found = near_dedup.near_duplicates(docs, size=SHINGLE_WORDS, percent=NEAR_PERCENT)
     several, turn, said = (unused(docs.columns, name) for name in ("several", "turn", "said"))
     decided = materialize(
@@ -66,7 +75,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts stay, as nothing is cut from them. Rows that repeat an id count as one document. Columns of
     any name stay as they are; no rows give no rows.
     """
-    ship_package(spark)
+    _prepare(spark)
     aside = {c: unused(docs.columns, f"own_{c}") for c in docs.columns if c.lower() in ("n_sentences", "n_removed")}
     cut = substring_dedup.remove_repeats(docs.withColumnsRenamed(aside))
     left = (F.col("n_removed") == 0) | F.col("text").rlike(r"\S")
@@ -89,7 +98,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts have no ids. Other columns are left out; no rows give no rows.
     """
-    ship_package(spark)
+    _prepare(spark)
     return byte_bpe.encode_documents(
         docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True
     )
