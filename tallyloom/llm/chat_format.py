@@ -2,9 +2,10 @@
 
     <|im_start|>role<|im_sep|>text<|im_cont|>next text of the same role<|im_end|>\\n
 
-Turns are collected and sorted in blocks of turn numbers and merged there by aggregation;
-the blocks of a conversation are then joined in time linear in its length, so a very
-long conversation is neither sorted nor merged as one array.
+Turns are collected and sorted in blocks of turn numbers and merged there into one turn with the
+array of their texts; the blocks of a conversation are then joined. All but the sorting takes time
+linear in the number of turns, also where very many turns have one number or none and so
+stand in one block.
 """
 
 from __future__ import annotations
@@ -42,21 +43,21 @@ def _opening(role: Column) -> Column:
     return F.concat(F.lit(OPEN), escape(role), F.lit(SEP))
 
 
-def _merge(turns: Column) -> Column:
-    """Adjacent turns of one role as one, with the list of their texts."""
+def _merge(said: str, starts: str) -> Column:
+    """Adjacent turns of one role as one, with the list of their texts: a slice of ``said`` from start to start."""
+
+    def turn(start: Column, i: Column) -> Column:
+        after = F.coalesce(F.get(starts, i + 1), F.size(said))
+        texts = F.transform(F.slice(said, start + 1, after - start), lambda turn: turn["text"])
+        return F.struct(F.get(said, start)["role"].alias("role"), texts.alias("texts"))
+
+    return F.transform(starts, turn)
 
-    def add(merged: Column, turn: Column) -> Column:
-        last = F.try_element_at(merged, F.lit(-1))
-        fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        longer = F.struct(
-            last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts")
-        )
-        return F.when(
-            last["role"] == turn["role"],
-            F.concat(F.slice(merged, F.lit(1), F.size(merged) - 1), F.array(longer)),
-        ).otherwise(F.concat(merged, F.array(fresh)))
 
-    return F.aggregate(turns, F.array().cast("array<struct<role:string,texts:array<string>>>"), add)
+def _starts(said: str) -> Column:
+    """Places, from 0, of the turns whose role is not that of the turn before."""
+    places = F.transform(said, lambda turn, i: F.when((i == 0) | (turn["role"] != F.get(said, i - 1)["role"]), i))
+    return F.array_compact(places)
 
 
 def _runs(merged: Column, learned: str) -> Column:
@@ -113,7 +114,8 @@ def format_conversations(
     merged = (
         rows.groupBy("key", "block")
         .agg(F.sort_array(F.collect_list("said")).alias("said"))
-        .select("key", "block", _merge(F.col("said")).alias("merged"))
+        .select("key", "block", "said", _starts("said").alias("starts"))
+        .select("key", "block", _merge("said", "starts").alias("merged"))
     )
     blocks = merged.select(
         "key",

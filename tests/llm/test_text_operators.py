@@ -59,6 +59,21 @@ def test_chat_order_ties_nulls_repeats_and_long_conversations(shipped):
     assert _format(shipped, []) == {}
 
 
+def test_chat_time_does_not_grow_with_the_square_of_equal_turns(shipped):
+    """32,000 turns without a number, of one role and of roles in turn."""
+    for roles in (("user",), ("assistant", "user")):
+        turns = shipped.range(32_000).select(
+            F.lit(1).alias("conv_id"),
+            F.lit(None).cast("long").alias("turn"),
+            F.element_at(F.array(*map(F.lit, roles)), (F.col("id") % len(roles) + 1).cast("int")).alias("role"),
+            F.format_string("%05d", "id").alias("text"),
+        )
+        begin = time.monotonic()
+        got = chat_format.digests(chat_format.format_conversations(turns)).first()
+        assert time.monotonic() - begin < 10
+        assert got.n_turns == 32_000 and got.loss_chars == 5 * 16_000 * (len(roles) - 1)
+
+
 def plain_licences(text):
     text = (text or "").translate({i: i + 32 for i in range(65, 91)})
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
