@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.sinks.scratch import materialize
 
+#: Into so many pieces the neighbours of a node are dealt, so that a hub is no single task's.
+PIECES = 64
+
 
 def _stars(edges: DataFrame, larger: bool) -> DataFrame:
     """One round: the neighbours of every node are tied to its smallest one.
 
     ``edges`` have a > b. The large round ties the larger neighbours, the small one the
-    smaller neighbours and the node itself. Minima are combined before the shuffle, and no
-    node's neighbours are ever collected.
+    smaller neighbours and the node itself. A node's neighbours are dealt into pieces, each with its own
+    least; the least of all pieces goes back to those pieces that the node has, which are as
+    many as it has neighbours or ``PIECES``. No node's neighbours are ever collected.
     """
     if larger:
         near = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
@@ -20,8 +24,12 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
         )
     else:
         near = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    least = near.groupBy("u").agg(F.min("v").alias("least")).withColumn("least", F.least("least", "u"))
-    tied = near.join(least, "u")
+    near = near.withColumn("piece", F.pmod(F.xxhash64("v"), F.lit(PIECES)).cast("int"))
+    by_piece = near.groupBy("u", "piece").agg(F.min("v").alias("least"))
+    least = by_piece.groupBy("u").agg(
+        F.least(F.min("least"), F.col("u")).alias("least"), F.collect_set("piece").alias("pieces")
+    )
+    tied = near.join(least.select("u", "least", F.explode("pieces").alias("piece")), ["u", "piece"])
     if larger:
         tied = tied.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("least").alias("b"))
     else:
