@@ -17,16 +17,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyloom.llm.cells import meet_in_cells
+
 
 @dataclass(frozen=True)
 class Settings:
     """``dimensions`` is even; ``confidence`` is the chance that a near vector is not missed."""
 
     dimensions: int = 8
-    confidence: float = 0.995
+    confidence: float = 0.95
     leaf: int = 32
     shard_rows: int = 16_384
-    block_queries: int = 1_024
     seed: int = 5
 
 
@@ -47,13 +48,16 @@ def chi_square_quantile(p: float, dimensions: int) -> float:
 
 
 class ProjectedTree:
-    """Vectors (rows of doubles) in a kd-tree over their projections; leaves are boxes of rows."""
+    """Vectors (rows of doubles) in a kd-tree over their projections; leaves are boxes of rows.
+
+    The rows of a leaf are stored side by side. ``verified`` counts the original vectors read by all searches.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, settings: Settings):
-        self.ids, self.vectors, self.settings = ids, vectors, settings
         rng = np.random.default_rng(settings.seed)
         self.axes = rng.normal(size=(vectors.shape[1], settings.dimensions))
         self.points = vectors @ self.axes
+        self.verified = 0
         self.stop = chi_square_quantile(settings.confidence, settings.dimensions)
         leaves, waiting = [], [np.arange(len(ids))]
         while waiting:
@@ -66,9 +70,12 @@ class ProjectedTree:
             half = len(rows) // 2
             order = np.argpartition(own[:, spread.argmax()], half)
             waiting += [rows[order[:half]], rows[order[half:]]]
-        self.leaves = leaves
         self.low = np.array([self.points[rows].min(axis=0) for rows in leaves])
         self.high = np.array([self.points[rows].max(axis=0) for rows in leaves])
+        order = np.concatenate(leaves)
+        self.ids, self.vectors, self.points = ids[order], vectors[order], self.points[order]
+        edges = np.cumsum([0, *map(len, leaves)])
+        self.leaves = [np.arange(first, last) for first, last in zip(edges[:-1], edges[1:])]
 
     def nearest(self, own_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and distances of the k nearest found, ties by id; the row ``own_id`` is left out."""
@@ -95,6 +102,7 @@ class ProjectedTree:
                 due &= far <= self.stop * best[-1] ** 2
             new = rows[due]
             new = new[self.ids[new] != own_id]
+            self.verified += len(new)
             apart = self.vectors[new] - query
             best_ids = np.concatenate([best_ids, self.ids[new]])
             best = np.concatenate([best, np.sqrt((apart * apart).sum(axis=1))])
@@ -145,48 +153,33 @@ def nearest_neighbours(
         .select("id", "vector", F.size("vector").alias("size"))
     )
     asked = whole.where("asks").select("id", "vector", F.size("vector").alias("size")).dropDuplicates(["id"])
-    counts = whole.agg(F.count("*"), F.count_if("asks")).first()
-    shards = max(1, ceil(counts[0] / settings.shard_rows))
-    blocks = max(1, ceil(counts[1] / settings.block_queries))
-
-    def part(count: int, seed: int) -> Column:
-        return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(count)).cast("int")
-
-    def every(count: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    # Each cell of shard and block is one bounded group: all queries meet all shards, in blocks.
-    cell = ["size", "shard", "block"]
-    dealt = indexed.select("id", "vector", "size", part(shards, 1).alias("shard"), every(blocks).alias("block"))
-    sent = asked.select("id", "vector", "size", every(shards).alias("shard"), part(blocks, 2).alias("block"))
-
-    def search(of: pa.Table, queries: pa.Table) -> pa.Table:
+    shards = max(1, ceil(whole.count() / settings.shard_rows))
+    # All queries meet all shards: a shard's rows are shuffled once and built into one tree, past which queries stream.
+    shard = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards)).cast("int")
+    held = indexed.select("id", "vector", "size", shard.alias("shard"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    sent = asked.select("id", "vector", "size", every.alias("shard"))
+
+    def matrix(rows: pa.Table | pa.RecordBatch) -> np.ndarray:
+        column = rows.column("vector")
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+    def build(rows: pa.Table) -> ProjectedTree:
+        return ProjectedTree(rows.column("id").to_numpy(), matrix(rows), settings)
+
+    def search(tree: ProjectedTree, queries: pa.RecordBatch) -> pa.RecordBatch:
         found: list[tuple] = []
-        if of.num_rows and queries.num_rows:
-            def matrix(rows: pa.Table) -> np.ndarray:
-                column = rows.column("vector").combine_chunks()
-                return column.flatten().to_numpy().reshape(len(column), -1)
-
-            tree = ProjectedTree(of.column("id").to_numpy(), matrix(of), settings)
-            for own, query in zip(queries.column("id").to_pylist(), matrix(queries)):
-                ids, distances = tree.nearest(own, query, k)
-                found += [(own, i, d) for i, d in zip(ids.tolist(), distances.tolist())]
-        kind_of = of.schema.field("id").type
-        columns = list(zip(*found)) or [[], [], []]
-        return pa.table(
-            {
-                "query_id": pa.array(columns[0], kind_of),
-                "id": pa.array(columns[1], kind_of),
-                "score": pa.array(columns[2], pa.float64()),
-            }
-        )
-
-    cells = shards * blocks
-    near = (
-        dealt.repartition(cells, *cell)
-        .groupBy(*cell)
-        .cogroup(sent.repartition(cells, *cell).groupBy(*cell))
-        .applyInArrow(search, f"query_id {kind}, id {kind}, score double")
+        for own, query in zip(queries.column("id").to_pylist(), matrix(queries)):
+            ids, distances = tree.nearest(own, query, k)
+            found += [(own, i, d) for i, d in zip(ids.tolist(), distances.tolist())]
+        columns, key_type = list(zip(*found)) or [(), (), ()], queries.schema.field("id").type
+        arrays = [pa.array(columns[0], key_type), pa.array(columns[1], key_type), pa.array(columns[2], pa.float64())]
+        return pa.RecordBatch.from_arrays(arrays, ["query_id", "id", "score"])
+
+    near = meet_in_cells(
+        held, sent, ["size", "shard"], shards, build, search, f"query_id {kind}, id {kind}, score double"
     )
     order = Window.partitionBy("query_id").orderBy("score", "id")
     return (
