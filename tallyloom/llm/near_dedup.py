@@ -13,8 +13,12 @@ its signature and that coordinate's value. Two sets above the threshold agree in
 Lists are not expanded into pairs. First every list is held against one of its nodes, twice;
 what is found to be linked falls into components. Then only nodes outside their list's largest
 component are left, and are joined with the others by their rarest shingles: of two sets
-above the threshold, each holds one of the other's rarest few. Candidates are counted by
-further coordinates and confirmed on full sets, so each link in the result is exact.
+above the threshold, each holds one of the other's rarest few.
+
+A candidate pair's collisions are counted over all posted coordinates: its prefixes' lists have made
+it a candidate, and the lists that the prefixes skip are probed in the two nodes' own values, not
+merged. Pairs of fewer than ``matches`` collisions go; the count then runs on over further coordinates
+that are not posted. What stays is confirmed on full sets, so each link in the result is exact.
 """
 
 from __future__ import annotations
@@ -32,8 +36,8 @@ from tallyloom.llm.word_hash import mix, run_hashes, word_hashes
 from tallyloom.sinks.scratch import materialize
 
 COORDINATES = 64
-#: Coordinates by which candidates are counted, drawn apart from those that are posted.
-COUNTED = 256
+#: Coordinates over which a candidate's count runs on, drawn apart from those that are posted.
+FURTHER = 192
 #: Chance that two sets at the threshold agree in fewer coordinates than asked for.
 MISS = 1e-7
 #: Shingles of more left-over nodes than this are common, the others rare.
@@ -115,23 +119,24 @@ def signatures(docs: DataFrame, key: str, text: str, size: int, coordinates: int
     )
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """node, two hashes that stand for a set of it, the set's shingle hashes and its counted
+def _sets(docs: DataFrame, size: int, further: int) -> DataFrame:
+    """node, two hashes that stand for a set of it, the set's shingle hashes and its further
     coordinates, from (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coefficients = _coefficients(COUNTED, seed=77)
+        coefficients = _coefficients(further, seed=77)
         for batch in batches:
             at = 0
             for hashes, counts in _shingle_sets(batch.column(1), size):
                 ends = np.concatenate([[0], np.cumsum(counts)])
                 full = counts > 0
-                counted = np.zeros((len(counts), COUNTED), np.uint32)
+                own = np.zeros((len(counts), further), np.uint32)
                 low, high = np.zeros((2, len(counts)), np.uint64)
                 if full.any():
                     low[full] = np.add.reduceat(hashes, ends[:-1][full])
                     high[full] = np.add.reduceat(mix(hashes ^ np.uint64(0x5BD1E995)), ends[:-1][full])
-                    counted[full] = _minima(hashes, ends[:-1][full], coefficients)
+                    if further:
+                        own[full] = _minima(hashes, ends[:-1][full], coefficients)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(counts)),
@@ -139,22 +144,27 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                         pa.array(high.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes.view(np.int64))),
                         pa.ListArray.from_arrays(
-                            pa.array(np.arange(len(counts) + 1) * COUNTED, pa.int32()),
-                            pa.array(counted.reshape(-1).view(np.int32)),
+                            pa.array(np.arange(len(counts) + 1) * further, pa.int32()),
+                            pa.array(own.reshape(-1).view(np.int32)),
                         ),
                     ],
-                    ["node", "low", "high", "shingles", "counted"],
+                    ["node", "low", "high", "shingles", "further"],
                 )
                 at += len(counts)
 
     kind = docs.schema["node"].dataType.simpleString()
-    return docs.mapInArrow(tidy(run), f"node {kind}, low long, high long, shingles array<bigint>, counted array<int>")
+    return docs.mapInArrow(tidy(run), f"node {kind}, low long, high long, shingles array<bigint>, further array<int>")
+
 
+def _collide(needed: tuple[int, int]) -> Column:
+    """Whether the sides a and b of a pair collide in enough posted coordinates, and then in enough of all.
 
-def _agree(one: str, other: str, percent: int) -> Column:
-    """Whether two sets agree in as many counted coordinates as linked ones do."""
-    same = F.filter(F.zip_with(one, other, lambda x, y: x == y), lambda equal: equal)
-    return F.size(same) >= matches_needed(percent, COUNTED)
+    Values that a node shares with no other are not among its posts and collide with nothing.
+    """
+    posted, total = needed
+    met = F.size(F.array_intersect("a_posts", "b_posts"))
+    same = F.filter(F.zip_with("a_further", "b_further", lambda x, y: x == y), lambda equal: equal)
+    return (met >= posted) & (met + F.size(same) >= total)
 
 
 def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
@@ -176,11 +186,14 @@ def _overlap(n: Column, m: Column, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (n + m) / (100 + percent) - 1e-9)
 
 
-def _confirmed(pairs: DataFrame, live: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that agree in enough coordinates and whose full sets are above the threshold."""
+def _confirmed(pairs: DataFrame, live: DataFrame, percent: int, needed: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) that collide often enough and whose full sets are above the threshold."""
     one, other = (
         live.select(
-            F.col("node").alias(side), F.col("counted").alias(f"{side}_counted"), F.col("shingles").alias(f"{side}_set")
+            F.col("node").alias(side),
+            F.col("posts").alias(f"{side}_posts"),
+            F.col("further").alias(f"{side}_further"),
+            F.col("shingles").alias(f"{side}_set"),
         )
         for side in ("b", "a")
     )
@@ -188,7 +201,7 @@ def _confirmed(pairs: DataFrame, live: DataFrame, percent: int) -> DataFrame:
     return (
         pairs.join(one, "b")
         .join(other, "a")
-        .where(_agree("a_counted", "b_counted", percent))
+        .where(_collide(needed))
         .where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common))
         .select("a", "b")
     )
@@ -218,7 +231,7 @@ def _left_over(lists: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _rare_pairs(
-    lists: DataFrame, live: DataFrame, labels: DataFrame, percent: int
+    lists: DataFrame, live: DataFrame, labels: DataFrame, percent: int, needed: tuple[int, int]
 ) -> DataFrame:
     """Pairs of a left-over node and a node of another label that may be linked by their shingles.
 
@@ -263,8 +276,8 @@ def _rare_pairs(
         )
     )
     rare = materialize(rare, "rare_shingles")
-    counted = live.select(*own, "counted")
-    sides = ("node", "label", "n", "most", "rarest", "counted")
+    counted = live.select(*own, "posts", "further")
+    sides = ("node", "label", "n", "most", "rarest", "posts", "further")
     asking = rare.where("odd").join(counted, own)
     left = asking.select("shingle", *(F.col(c).alias(f"a_{c}") for c in sides))
     asked = rare.join(rare.where("odd").select("shingle").distinct(), "shingle", "left_semi")
@@ -277,7 +290,7 @@ def _rare_pairs(
             & (F.least("a_most", "b_most") >= _overlap(F.col("a_n"), F.col("b_n"), percent))
             # once for a pair: where it first meets
             & (F.get(F.array_intersect("a_rarest", "b_rarest"), F.lit(0)) == left["shingle"])
-            & _agree("a_counted", "b_counted", percent),
+            & _collide(needed),
         )
         .select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b"))
         .distinct()
@@ -296,18 +309,22 @@ def near_duplicates(
     size: int = 3,
     percent: int = 85,
     coordinates: int = COORDINATES,
+    further: int = FURTHER,
 ) -> DataFrame:
     """``key``, n_shingles, component_id and kept, one row per row of ``docs``.
 
     A document's set holds its distinct runs of ``size`` words, A-Z lower-cased; with fewer
     words the whole sequence is its one shingle. Documents are linked whose sets share
     ``percent`` of their union or more; ``component_id`` is the smallest key reachable and
-    ``kept`` marks the document that has it. Documents without words, or null, have an empty
+    ``kept`` marks the document that has it. A pair at the threshold collides too seldom with a chance of
+    ``MISS`` in the posted ``coordinates`` and another in those with the ``further`` ones, of which
+    0 leave the posted ones alone to decide what is confirmed. Documents without words, or null, have an empty
     set, no links and stay. Rows that repeat a key are one document with all their texts;
     a row without a key gets no component and stays. Other columns are ignored, whatever their
     names. No rows give no rows; very long texts are hashed whole.
     """
     matches = matches_needed(percent, coordinates)
+    needed = matches, matches_needed(percent, coordinates + further)
     found = materialize(signatures(docs, key, text, size, coordinates), "signatures")
     posted = found.where((F.col("n_shingles") > 0) & F.col("id").isNotNull())
     classes = materialize(
@@ -321,7 +338,9 @@ def near_duplicates(
         prefixes.select("node"), "node", "left_semi"
     )
     # A set that rows of one key repeat is there once.
-    live = materialize(prefixes.join(_sets(texts, size), "node").dropDuplicates(["node", "low", "high"]), "live")
+    short = prefixes.select("node", F.transform("posts", lambda p: p.bitwiseAND(0x7FFFFFFF).cast("int")).alias("posts"))
+    live = short.join(_sets(texts, size, further), "node").dropDuplicates(["node", "low", "high"])
+    live = materialize(live, "live")
     lists = materialize(
         prefixes.select(
             "node", F.explode(F.slice("posts", F.lit(1), F.size("posts") - matches + 1)).alias("post")
@@ -341,7 +360,7 @@ def near_duplicates(
     )
     nodes = prefixes.select("node").distinct()
     pairs = _pivot_pairs(lists, nodes.withColumn("label", F.col("node")), F.xxhash64("node"))
-    found_first = materialize(_confirmed(pairs, live, percent), "links")
+    found_first = materialize(_confirmed(pairs, live, percent, needed), "links")
     # The smallest confirmed partner will do as a label here: who has the same one is linked.
     ends = found_first.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
         found_first.select(F.col("b").alias("node"), F.col("b").alias("label"))
@@ -350,12 +369,12 @@ def near_duplicates(
     # A node that is linked already is the better one to hold the others against.
     linked_first = F.struct((F.col("label") == F.col("node")).alias("single"), F.xxhash64("node", "post").alias("drawn"))
     pairs = _pivot_pairs(lists, labels, linked_first)
-    links = materialize(links.union(found_first).union(_confirmed(pairs, live, percent)), "links")
+    links = materialize(links.union(found_first).union(_confirmed(pairs, live, percent, needed)), "links")
     tied = components(links)
     labels = _labels(nodes, tied.withColumnRenamed("component", "label"))
-    pairs = _rare_pairs(lists, live, labels, percent)
+    pairs = _rare_pairs(lists, live, labels, percent, needed)
     # Components found so far stand for their links.
-    last = _confirmed(pairs, live, percent).union(tied.select("node", "component"))
+    last = _confirmed(pairs, live, percent, needed).union(tied.select("node", "component"))
     tied = components(materialize(last, "links"))
     of_class = classes.join(tied, "node", "left").select(
         "low", "high", "n_shingles", F.coalesce("component", "node").alias("component_id")

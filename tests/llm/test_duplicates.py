@@ -71,10 +71,20 @@ def _group_rows(seed, groups=12):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed, size, percent", [(1, 3, 85), (2, 5, 80)])
-def test_near_duplicates_equal_all_pairs(docs, seed, size, percent):
+def test_pairs_are_kept_by_their_collisions(shipped):
+    """Three posted and two further coordinates in common: enough of each count, or of neither."""
+    row = [(list(range(10, 16)), [1, 2, 3, 4], [3, 15, 11, 10, 99], [1, 0, 3, 0])]
+    pair = shipped.createDataFrame(
+        row, "a_posts array<int>, a_further array<int>, b_posts array<int>, b_further array<int>"
+    )
+    for asked, kept in [((3, 5), True), ((4, 5), False), ((3, 6), False), ((0, 0), True)]:
+        assert pair.select(near_dedup._collide(asked)).first()[0] is kept
+
+
+@pytest.mark.parametrize("seed, size, percent, further", [(1, 3, 85, near_dedup.FURTHER), (2, 5, 80, 0)])
+def test_near_duplicates_equal_all_pairs(docs, seed, size, percent, further):
     rows = _group_rows(seed)
-    got = near_dedup.near_duplicates(docs(*rows), size=size, percent=percent).collect()
+    got = near_dedup.near_duplicates(docs(*rows), size=size, percent=percent, further=further).collect()
     assert {r.doc_id: tuple(r)[1:] for r in got} == plain.near_duplicates(rows, size, percent)
 
 
