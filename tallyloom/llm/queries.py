@@ -19,6 +19,7 @@ from tallyloom.llm import (
     neighbours,
     spelling,
     substring_dedup,
+    url_lists,
     url_rules,
     warc,
 )
@@ -79,17 +80,9 @@ SITE_RULES = [
     *url_rules.site_rule("allow", "com", "/fr/"),
     *url_rules.site_rule("block", "com", "/de/"),
 ]
-#: Words of hosts that carry little but advertising, malware or copied media.
-BLOCKED_WORDS = (
-    "spam", "casino", "cheap-pills", "pharmacy", "viagra", "porn", "xxx", "escort", "lottery",
-    "betting", "poker", "payday", "warez", "torrent", "keygen", "adserver", "doubleclick",
-    "tracker", "phish", "malware", "clickbait", "free-money", "replica-watch",
-)
-
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    others = [rule for word in BLOCKED_WORDS for rule in url_rules.word_rule("block", word)]
-    return url_rules.judge_urls(table(spark, sf_dir, "pages"), SITE_RULES, others)
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), SITE_RULES, url_lists.rules())
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

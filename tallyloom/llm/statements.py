@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from tallyloom.llm.chat_format import CLOSE, CONT, CONTROL, OPEN, SEP
-from tallyloom.llm.queries import BLOCKED_WORDS, CONTROL_TEXT
+from tallyloom.llm.queries import CONTROL_TEXT
+from tallyloom.llm.url_lists import BLOCKED_WORDS, globs
 
 
 def _escaped(column: str) -> str:
@@ -37,9 +39,12 @@ FROM sides GROUP BY conv_id
 
 
 def url_filter() -> str:
-    words = "\n".join(
-        f"        WHEN contains(host, '{word}') THEN '*{word}*'"
-        for word in sorted(BLOCKED_WORDS, key=len, reverse=True)
+    rules = [("block", f"*{word}*", f"[^/]*{re.escape(word)}[^/]*(/.*)?") for word in BLOCKED_WORDS]
+    for verdict, pattern in globs():
+        parts = [[re.escape(name) for name in part.split("*")] for part in pattern.split("**")]
+        rules.append((verdict, pattern, ".*".join("[^/]*".join(part) for part in parts)))
+    listed = ",\n         ".join(
+        f"({place}, '{verdict}', '{name}', '(?s){expression}')" for place, (verdict, name, expression) in enumerate(rules)
     )
     return f"""
 WITH rests AS (
@@ -63,17 +68,17 @@ WITH rests AS (
   FROM parts
   JOIN site_rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
   GROUP BY page_id
-), words AS (
-  SELECT page_id, host, path,
-         CASE
-{words}
-         END AS word
-  FROM parts
+), globs(place, verdict, name, expression) AS (
+  VALUES {listed}
+), others AS (
+  SELECT page_id, name AS other, globs.verdict AS other_verdict
+  FROM parts JOIN globs ON regexp_full_match(host || path, expression)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(name) DESC, globs.verdict <> 'block', place) = 1
 )
 SELECT page_id, host, path, rule,
-       coalesce(verdict, CASE WHEN word IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
-       CASE WHEN rule IS NULL THEN word END AS other_rule
-FROM words LEFT JOIN fits USING (page_id)
+       coalesce(verdict, other_verdict, 'allow') AS verdict,
+       CASE WHEN rule IS NULL THEN other END AS other_rule
+FROM parts LEFT JOIN fits USING (page_id) LEFT JOIN others USING (page_id)
 """
 
 

@@ -57,8 +57,8 @@ class Automaton:
     def __init__(self, rules: list[Rule]):
         bits = sum(1 + sum(t not in (SEGMENT, ALL) for t in rule.tokens) for rule in rules)
         words = max(1, -(-bits // 64))
-        starts, finals = np.zeros((2, words), np.uint64)
-        self.final_of = np.zeros((len(rules), words), np.uint64)
+        starts = np.zeros(words, np.uint64)
+        finals = np.zeros(len(rules), np.int64)
         self.move = np.zeros((256, words), np.uint64)
         self.stay = np.zeros((256, words), np.uint64)
         at = 0
@@ -72,9 +72,9 @@ class Automaton:
                 at += 1
                 suits = slice(None) if token == ANY else token
                 self.move[suits, at // 64] |= np.uint64(1 << at % 64)
-            self.final_of[number, at // 64] |= np.uint64(1 << at % 64)
+            finals[number] = at
             at += 1
-        self.starts = starts
+        self.starts, self.finals = starts, finals
 
     def match(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Which rules fit which text: a boolean row per text, a column per rule."""
@@ -92,9 +92,8 @@ class Automaton:
             moved = own << np.uint64(1)
             moved[:, 1:] |= own[:, :-1] >> np.uint64(63)
             state[:running] = (moved & self.move[byte]) | (own & self.stay[byte])
-        fits = np.zeros((len(order), len(self.final_of)), bool)
-        for number, final in enumerate(self.final_of):
-            fits[order, number] = (state & final).any(axis=1)
+        fits = np.zeros((len(order), len(self.finals)), bool)
+        fits[order] = state[:, self.finals // 64] >> (self.finals % 64).astype(np.uint64) & np.uint64(1)
         return fits
 
 

@@ -203,17 +203,22 @@ URLS = [
     (9, "http://com/de/"), (10, "http://xcom/de/"), (11, "http://org?/"), (12, "://.org/a"),
     (13, "http://bad-casino.net/a/b"), (14, "http://x.net/casino"), (15, "http://a.org/" + "p" * 100_000),
     (15, "http://a.org/" + "p" * 100_000), (None, "http://ÀÉ.example.org/es/"), (16, "http://example.org/es"),
+    (17, "http://ads.x.net"), (18, "http://a.ads.x.net/b"), (19, "http://x.net/ads.y"), (20, "http://x.net/en/login"),
+    (21, "http://x.net/login/now/"), (22, "http://x.net/logins"), (23, "http://x.net/a.b/c.tar"), (24, "http://x.net/.exe"),
+    (25, "http://x.net/exe"), (26, "http://law.some.edu/read"), (27, "http://law.some.edu/search"), (28, "http://edu/read"),
+    (29, "http://x.net/a\n/cart"), (30, "http://x.net/É.pdf.zip?x"), (31, "http://some.edu/a.gz"), (32, "http://cdn.poker.museum"),
 ]
 
 
 def test_urls_equal_sql_on_hard_urls(shipped):
     import duckdb
 
-    from tallyloom.llm.queries import BLOCKED_WORDS, SITE_RULES
+    from tallyloom.llm import url_lists
+    from tallyloom.llm.queries import SITE_RULES
     from tallyloom.llm.statements import STATEMENTS
 
     rows = [(k, u) for k, u in dict((repr(k) + str(u), (k, u)) for k, u in URLS).values()]
-    others = [rule for word in BLOCKED_WORDS for rule in url_rules.word_rule("block", word)]
+    others = url_lists.rules()
     pages = shipped.createDataFrame(rows, "page_id long, url string").withColumns(
         {"host": F.lit("h"), "key": F.lit("k"), "rule": F.lit("r")}
     )
@@ -223,6 +228,11 @@ def test_urls_equal_sql_on_hard_urls(shipped):
     connection.executemany("INSERT INTO pages VALUES (?, ?)", [r for r in rows if r[0] is not None])
     wanted = connection.sql(STATEMENTS["op8_url_filter"]).fetchall()
     assert sorted(got, key=repr) == sorted(wanted, key=repr)
+    by_list = {r[0]: (r[4], r[5]) for r in got}
+    assert by_list[18] == ("block", "*.ads.*/**") and by_list[19] == ("allow", None)
+    assert by_list[20] == ("block", "*/**/login") and by_list[22] == by_list[25] == ("allow", None)
+    assert by_list[26] == ("allow", "*.edu/**") and by_list[27] == ("block", "*/search")
+    assert by_list[31] == ("allow", "*.edu/**")  # longer than the rule of the ending
     assert url_rules.judge_urls(pages.limit(0), SITE_RULES, others).collect() == []
 
 
