@@ -9,6 +9,7 @@ from tallyloom.operators import kpi
 from tallyloom.operators.hot_join import hot_key_join, hot_keys
 from tallyloom.plans.explain import plan_rows
 from tallyloom.plans.registry import QUERIES, Store
+from tallyloom.schemas import RAW_FILE_ENDINGS
 from tallyloom.sinks import scratch, tables
 
 SCHEMA = "order_id string, dt string"
@@ -170,3 +171,32 @@ def test_closing_a_store_leaves_nothing(spark, tmp_path):
     Store(spark, str(data)).close()
     assert _left(spark) == before
     assert {d.name for d in spark.catalog.listDatabases()} == databases
+
+
+def _sources(spark, data, name):
+    """Last part of the folders that a store wrote for one query."""
+    store = Store(spark, str(data))
+    try:
+        QUERIES[name](spark, str(data)).collect()
+        return sorted(e.name for path in store.scope.paths if Path(path).is_dir() for e in Path(path).iterdir() if e.is_dir())
+    finally:
+        store.close()
+
+
+@pytest.mark.parametrize("entity", ["customers", "category_translation"])
+def test_a_scan_delivers_and_lands_its_own_table_alone(spark, tmp_path, entity):
+    data = tmp_path / "sf"
+    data.symlink_to(DATA)
+    assert _sources(spark, data, f"scan_{entity}_raw") == sorted([entity, RAW_FILE_ENDINGS[entity]])
+
+
+def test_a_second_scan_shares_the_folders_of_the_first(spark, tmp_path):
+    data = tmp_path / "sf"
+    data.symlink_to(DATA)
+    store = Store(spark, str(data))
+    first, again = store.landed(["products"]), store.landed(["products", "payments"])
+    written = {p: p.stat().st_mtime_ns for p in Path(first).glob("products/part-*")}
+    assert first == again == store.landed()
+    assert written == {p: p.stat().st_mtime_ns for p in Path(first).glob("products/part-*")}
+    assert sorted(p.name for p in Path(first).iterdir()) == sorted(RAW_FILE_ENDINGS)
+    store.close()
