@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.quality import QualityError
 from tallyloom.plans.explain import plan_rows
+from tallyloom.plans import pipeline
 from tallyloom.plans.pipeline import run_pipeline
 from tallyloom.schemas import RAW_COLUMNS, RAW_FILE_ENDINGS, SILVER
 from tallyloom.sinks import tables
 from tallyloom.sources import landing
-from tallyloom.sources.csv import read_raw
+from tallyloom.sources.csv import PACKED, read_raw, write_raw
 
 LINES = {
     "orders": [
@@ -304,3 +305,20 @@ def test_the_manifest_of_a_run_is_stored(run, spark):
         entity: len(lines) for entity, lines in LINES.items()
     }
     assert all("/work/manifest/" in file for file in run.manifest.inputFiles())
+
+
+def test_packed_lines_are_delivered_and_landed_as_they_are(spark, tmp_path):
+    lines = [(f"o{i:06d}", "1", " credit_card " if i % 2 else "", "x,y", f"{i}.50") for i in range(5_000)]
+    frame = spark.createDataFrame(lines, ", ".join(f"{c} string" for c in RAW_COLUMNS["payments"])).coalesce(1)
+    source = tmp_path / "delivery"
+    write_raw(frame, str(source / RAW_FILE_ENDINGS["payments"]), **{**PACKED, "maxRecordsPerFile": 1_000})
+    files = list(source.glob("*/part-*"))
+    assert len(files) == 5 and all(f.name.endswith(".gz") for f in files), "a task can hold each of them"
+    warehouse = pipeline.Warehouse(spark, str(tmp_path / "warehouse"))
+    manifest = pipeline.land(warehouse, str(source), ["payments"])
+    assert [r.record_count for r in manifest.collect()] == [1_000] * 5
+    landed = list((tmp_path / "warehouse" / "bronze" / "payments").glob("part-*"))
+    assert all(f.name.endswith(".gz") for f in landed)
+    assert 2 * sum(f.stat().st_size for f in landed) < sum(len(",".join(line)) + 1 for line in lines)
+    got = read_raw(spark, warehouse.location("bronze"), "payments").collect()
+    assert sorted(map(tuple, got)) == lines, "no header among them, and no value changed"
