@@ -1,4 +1,5 @@
 import datetime
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -322,3 +323,18 @@ def test_packed_lines_are_delivered_and_landed_as_they_are(spark, tmp_path):
     assert 2 * sum(f.stat().st_size for f in landed) < sum(len(",".join(line)) + 1 for line in lines)
     got = read_raw(spark, warehouse.location("bronze"), "payments").collect()
     assert sorted(map(tuple, got)) == lines, "no header among them, and no value changed"
+
+
+def test_entities_are_landed_at_the_same_time(spark, source, tmp_path, monkeypatch):
+    paths = landing.source_paths(spark, source, entities=["orders", "payments"])
+    both, lines = threading.Barrier(2, timeout=30), landing._lines
+
+    def meet(*given):
+        both.wait()
+        return lines(*given)
+
+    monkeypatch.setattr(landing, "_lines", meet)
+    targets = landing.land_raw(spark, paths, str(tmp_path))
+    assert list(targets) == ["orders", "payments"]
+    for entity, target in targets.items():
+        assert sorted(r.value for r in spark.read.text(target).collect()) == sorted(LINES[entity])

@@ -11,6 +11,7 @@ from tallyloom.plans.explain import plan_rows
 from tallyloom.plans.registry import QUERIES, Store
 from tallyloom.schemas import RAW_FILE_ENDINGS
 from tallyloom.sinks import scratch, tables
+from tallyloom.sinks.orc import orc_options
 
 SCHEMA = "order_id string, dt string"
 FIRST = [("1", "2018-01-01"), ("2", "2018-01-02"), ("3", "2018-01-02")]
@@ -200,3 +201,36 @@ def test_a_second_scan_shares_the_folders_of_the_first(spark, tmp_path):
     assert written == {p: p.stat().st_mtime_ns for p in Path(first).glob("products/part-*")}
     assert sorted(p.name for p in Path(first).iterdir()) == sorted(RAW_FILE_ENDINGS)
     store.close()
+
+
+def test_ids_are_stored_without_a_dictionary(spark, database, tmp_path):
+    df = spark.range(2000).selectExpr(
+        "concat('order-number-', id % 10) AS order_id",
+        "concat('order-number-', id % 10) AS status",
+        "cast(id % 3 AS int) AS order_item_id",
+        "'d' AS day_id",
+    )
+    assert orc_options(df, ("day_id",))["orc.column.encoding.direct"] == "order_id"
+    assert "orc.column.encoding.direct" not in orc_options(df.select("status", "order_item_id"))
+    stored = tables.write_table(df, f"{database}.t", str(tmp_path / "t"), ("day_id",))
+    assert _rows(stored) == _rows(df)
+
+    def encodings(folder):
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        (file,) = Path(folder).rglob("*.orc")
+        reader = jvm.org.apache.orc.OrcFile.createReader(
+            jvm.org.apache.hadoop.fs.Path(str(file)), jvm.org.apache.orc.OrcFile.readerOptions(conf)
+        )
+        footer = reader.rows().readStripeFooter(reader.getStripes().get(0))
+        names = list(reader.getSchema().getFieldNames())
+        return {name: str(footer.getColumns(i + 1).getKind()) for i, name in enumerate(names)}
+
+    found = encodings(tmp_path / "t")
+    assert (found["order_id"], found["status"]) == ("DIRECT_V2", "DICTIONARY_V2")
+    with scratch.work_database(spark, f"{database}_work") as work:
+        table = scratch.temporary_table(df.coalesce(1), work, "t")
+        found = encodings(tables.table_location(spark, f"`{work}`.t").removeprefix("file:"))
+        assert (found["order_id"], found["day_id"]) == ("DIRECT_V2", "DIRECT_V2")
+        assert _rows(table) == _rows(df)
+    tables.write_partitions(df.coalesce(1), str(tmp_path / "p"), ("day_id",))
+    assert encodings(tmp_path / "p")["order_id"] == "DIRECT_V2"
