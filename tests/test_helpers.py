@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text
-from tallyloom.functions.money import money_avg, money_sum
+from tallyloom.functions.money import money_avg, money_parts, money_sum
 from tallyloom.session import scoped
 from tallyloom.sinks import scratch
 
@@ -125,3 +125,17 @@ def test_times_of_another_form_are_malformed(rows):
     df = rows("i int, x string", list(enumerate(values)))
     got = [tuple(r) for r in df.orderBy("i").select(text.to_timestamp("x").isNotNull(), text.to_date("x").isNotNull()).collect()]
     assert got == [(known, known) for known in (True, True, *(False,) * 7, True, False)]
+
+
+def test_first_sums_of_money_are_sums_of_longs(spark, rows):
+    """A sum of decimals makes objects per row; in parts of longs it is as exact, also at the largest amounts."""
+    largest = 99_999_999_999_999.0
+    data = [(1, largest), (1, largest), (1, -0.0001), (1, -largest), (2, -largest), (2, -1.25), (3, None), (4, -0.01)]
+    summed = rows("k int, x double", data).groupBy("k").agg(*money_parts(F.col("x"), "m"))
+    assert dict(summed.dtypes)["m_units"] == "decimal(28,0)"
+    assert {r.k: r.m_units and int(r.m_units) for r in summed.collect()} == {
+        1: int(largest * 10_000) - 1, 2: -int(largest * 10_000) - 12_500, 3: None, 4: -100
+    }
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    partial = next(line for line in plan.splitlines() if "partial_sum" in line)
+    assert "decimal" not in partial and "MakeDecimal" not in partial

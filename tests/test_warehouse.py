@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -234,3 +235,25 @@ def test_ids_are_stored_without_a_dictionary(spark, database, tmp_path):
         assert _rows(table) == _rows(df)
     tables.write_partitions(df.coalesce(1), str(tmp_path / "p"), ("day_id",))
     assert encodings(tmp_path / "p")["order_id"] == "DIRECT_V2"
+
+
+def test_tables_of_the_store_are_built_by_small_tasks(spark, tmp_path):
+    """So sorts and sums stay in memory however large a file is; ids and amounts are written without a dictionary."""
+    key, seen = "spark.sql.files.maxPartitionBytes", []
+
+    def build():
+        seen.append(spark.conf.get(key))
+        return spark.range(2000, numPartitions=1).selectExpr(
+            "concat('order-number-', id % 10) AS order_id", "concat('state-', id % 10) AS status", "id % 10 / 4 AS price"
+        )
+
+    before = spark.conf.get(key)
+    store = Store(spark, str(tmp_path))
+    stored = store._table("t", build)
+    assert _rows(stored) == _rows(build())
+    assert seen == ["16MB", before] and spark.conf.get(key) == before
+    (file,) = (f.removeprefix("file://") for f in stored.inputFiles())
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    dictionaries = {group.column(i).path_in_schema: group.column(i).has_dictionary_page for i in range(group.num_columns)}
+    assert dictionaries == {"order_id": False, "status": True, "price": False}
+    store.close()
